@@ -37,16 +37,8 @@ def connected_components(edges: DataFrame, left: str, right: str, max_rounds: in
     reliable checkpoint. Null ends and loops are no edges. Needs O(log n) rounds; if ``max_rounds``
     do not suffice it raises rather than return a wrong result.
     """
-    now = cut(
-        edges.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v"))
-        .filter(F.col(left).isNotNull() & F.col(right).isNotNull() & (F.col("u") != F.col("v")))
-        .distinct()
-        if {left, right} != {"u", "v"}
-        else edges.select(F.greatest("u", "v").alias("x"), F.least("u", "v").alias("y"))
-        .filter(F.col("x") != F.col("y"))
-        .distinct()
-        .toDF("u", "v")
-    )
+    ends = edges.select(F.greatest(left, right).alias("__hi"), F.least(left, right).alias("__lo"))
+    now = cut(ends.filter("__lo < __hi").distinct().toDF("u", "v"))
     seen = _fingerprint(now)
     for _ in range(max_rounds):
         now = cut(_small_star(_large_star(now)))
