@@ -36,6 +36,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, its lineage cut; survives lost executors."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written to the shared checkpoint folder, its lineage cut; survives lost executors.
+
+    Size estimates are forgotten too: a plan keeps those of the plan it was cut from, and in a loop
+    of joins they would grow without bound. Run-time re-planning sees the real sizes.
+    """
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    kept = df.checkpoint(eager=True)._jdf
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(kept.queryExecution().toRdd(), kept.schema(), False), spark)
