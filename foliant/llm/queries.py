@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foliant.llm import consensus, encode, pack, repetition, sample, splits
+from foliant.llm import consensus, encode, langid, pack, repetition, sample, splits
 from foliant.llm.labels import label_language
 from foliant.session import table
 from pyspark.sql import functions as F
@@ -12,6 +12,20 @@ def _t(spark, d, *names):
     return [table(spark, d, n) for n in names]
 
 
+def _identified(documents):
+    return langid.identify(documents, langid.fit(*langid.training_lines(documents)))
+
+
+def p1_found(spark, d):
+    (documents,) = _t(spark, d, "documents")
+    return langid.label_cases(documents, _identified(documents))
+
+
+def p1_languages(spark, d):
+    (documents,) = _t(spark, d, "documents")
+    return _identified(documents)
+
+
 def p2_found(spark, d):
     (records,) = _t(spark, d, "raw_records")
     return consensus.disputed(consensus.consensus(consensus.votes_of(records))[0])
@@ -69,7 +83,7 @@ def p9_shares(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        p2_found, p2_consensus, p2_annotators, p4_found, p4_split, p5_found, p5_sample,
+        p1_found, p1_languages, p2_found, p2_consensus, p2_annotators, p4_found, p4_split, p5_found, p5_sample,
         p7_ids, p8_containers, p9_found, p9_shares,
     )
 }
