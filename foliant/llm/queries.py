@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foliant.llm import consensus, encode, langid, pack, repetition, sample, splits
+from foliant.llm import consensus, encode, langid, names, pack, repetition, sample, splits
 from foliant.llm.labels import label_language
 from foliant.session import table
 from pyspark.sql import functions as F
@@ -42,6 +42,16 @@ def p2_annotators(spark, d):
     return consensus.consensus(consensus.votes_of(records))[1]
 
 
+def p3_found(spark, d):
+    labels, companies = _t(spark, d, "annexure_audit_document_labels", "cohort_companies")
+    return names.link_names(labels, companies).select("label_id", "company_id")
+
+
+def p3_issuers(spark, d):
+    (companies,) = _t(spark, d, "cohort_companies")
+    return names.issuers(companies)
+
+
 def p4_found(spark, d):
     return splits.related_pairs(*_t(spark, d, "doc_records", "cohort_companies"))
 
@@ -83,7 +93,7 @@ def p9_shares(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_languages, p2_found, p2_consensus, p2_annotators, p4_found, p4_split, p5_found, p5_sample,
+        p1_found, p1_languages, p2_found, p2_consensus, p2_annotators, p3_found, p3_issuers, p4_found, p4_split, p5_found, p5_sample,
         p7_ids, p8_containers, p9_found, p9_shares,
     )
 }
