@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foliant.llm import consensus, encode, langid, names, pack, repetition, sample, splits
+from foliant.llm import consensus, encode, langid, names, ocr, pack, repetition, sample, splits
 from foliant.llm.labels import label_language
 from foliant.session import table
 from pyspark.sql import functions as F
@@ -70,6 +70,16 @@ def p5_sample(spark, d):
     return sample.document_sample(records).filter("selected").select("id", "batch", "digest", "batch_rank", "quota")
 
 
+def p6_found(spark, d):
+    pages, documents = _t(spark, d, "ocr_pages", "documents")
+    return ocr.analyse(pages, [documents])[0]
+
+
+def p6_paragraphs(spark, d):
+    pages, documents = _t(spark, d, "ocr_pages", "documents")
+    return ocr.repair(pages, [documents])
+
+
 def p7_ids(spark, d):
     (documents,) = _t(spark, d, "documents")
     return encode.encode_corpus(documents)
@@ -94,7 +104,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         p1_found, p1_languages, p2_found, p2_consensus, p2_annotators, p3_found, p3_issuers, p4_found, p4_split, p5_found, p5_sample,
-        p7_ids, p8_containers, p9_found, p9_shares,
+        p6_found, p6_paragraphs, p7_ids, p8_containers, p9_found, p9_shares,
     )
 }
 
