@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes the package importable on Python workers, once per application.
+
+    The driver packs its own copy and Spark hands it to the executors; nothing has to be installed
+    there, and no executor needs the driver's folders.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        _SHIPPED.add(sc.applicationId)
+        root = Path(__file__).resolve().parent
+        packed = shutil.make_archive(tempfile.mkdtemp() + "/foliant", "zip", root.parent, root.name)
+        sc.addPyFile(packed)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A Parquet table of the data directory, a single file or a folder of parts."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
