@@ -271,7 +271,11 @@ def edge_evidence(edges: DataFrame) -> DataFrame:
     form = (
         edges.filter("form <> ''")
         .groupBy("document_id", "form")
-        .agg(F.count_distinct("page_no").alias("form_pages"))
+        .agg(
+            F.count_distinct("page_no").alias("form_pages"),
+            F.count_distinct(F.pmod("page_no", F.lit(2))).alias("sides"),
+            F.count_distinct(F.least("top", F.lit(EDGE))).alias("places"),
+        )
         .join(pages, "document_id")
     )
     often = form.filter((F.col("form_pages") >= 2) & (F.col("form_pages") * 10 >= F.col("n_pages")))
@@ -315,6 +319,7 @@ def line_features(r) -> list[float]:
         float(len(words)), float(line.endswith((".", ",", ";"))), sum(w[:1].isupper() for w in words) / max(1, len(words)),
         float(r.number is not None and r.number == r.number), float("," in line or "%" in line), float(len(line)),
         float(bool(re.search(r"^\d+\s|\s\d+$", line))), float(sum(any(c.isdigit() for c in w) for w in words)),
+        float(none(r.form_pages) >= 2 and r.sides == 1), float(none(r.form_pages) >= 2 and r.places == 1),
         float(bool(re.search(r"\b(?:limited|ltd)\b", line, re.I))),
     ]
 
@@ -326,13 +331,15 @@ def train_furniture(evidence: DataFrame) -> tuple[Booster, Booster]:
     for r in rows:
         x = line_features(r)
         n = r["n_pages"]
-        repeats = r["form"] and (r["form_pages"] or 0) >= max(2, 0.5 * n) and (r["form_repeats"] or 0) * 2 >= (r["form_docs"] or 1)
+        on = r["form_pages"] or 0
+        # On many pages, or on every other page of a short report (headers of left and right pages).
+        repeats = r["form"] and (on >= max(3, 0.3 * n) or on == 2 and n <= 5 and r["sides"] == 1 and r["places"] == 1)
         counts_on = r["number"] is not None and (r["step_pages"] or 0) >= max(2, 0.5 * n)
         weak = list(x)
         if repeats and n >= 2:
             hx.append(x), hy.append(1)
-            weak[2:4] = [1.0 / n, 1.0]  # the same line, were it not on other pages
-            if x[8] > 0.7 or x[10] > 0.8:
+            weak[2:4], weak[-3:-1] = [1.0 / n, 1.0], [0.0, 0.0]  # the same line, were it not on other pages
+            if x[8] > 0.7:
                 hx.append(weak), hy.append(1)
             if x[-1]:  # nor in any other report
                 alone = list(weak)
@@ -347,7 +354,7 @@ def train_furniture(evidence: DataFrame) -> tuple[Booster, Booster]:
             nx.append(weak), ny.append(1)
         elif r["native"] or r["number"] is None:
             nx.append(x), ny.append(0)
-    empty = np.zeros((0, 22))
+    empty = np.zeros((0, 24))
     return (
         Booster().fit(np.array(hx) if hx else empty, np.array(hy)),
         Booster().fit(np.array(nx) if nx else empty, np.array(ny)),
@@ -363,7 +370,7 @@ def furniture(pages: DataFrame) -> DataFrame:
         header, number = models.value
         for b in batches:
             rows = list(b.itertuples())
-            x = np.array([line_features(r) for r in rows]) if rows else np.zeros((0, 22))
+            x = np.array([line_features(r) for r in rows]) if rows else np.zeros((0, 24))
             h, p = header.probability(x), number.probability(x)
             lone = np.array([r.number is not None and r.number == r.number for r in rows], bool)
             noise = np.where(lone & (p >= FURNITURE), "page_number", np.where(~lone & (h >= FURNITURE), "header", ""))
@@ -371,7 +378,7 @@ def furniture(pages: DataFrame) -> DataFrame:
 
     use = evidence.select(
         "document_id", "page_no", "line_no", "line", "form", "top", "bottom", "n_pages", "form_pages", "step_pages",
-        "form_docs", "form_repeats", "forms", "number",
+        "form_docs", "form_repeats", "forms", "number", "sides", "places",
     )
     return use.mapInPandas(judge, "document_id string, page_no int, line_no int, noise string").filter("noise <> ''")
 
