@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("coverage", "pages")
+FAMILIES = ("coverage", "pages", "scoring", "entities")
 _modules = [importlib.import_module(f"foliant.plans.{f}") for f in FAMILIES]
 QUERIES = {k: f for m in _modules for k, f in m.QUERIES.items()}
 ORACLES = {k: s for m in _modules for k, s in m.ORACLES.items()}
