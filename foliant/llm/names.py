@@ -1,7 +1,7 @@
 """Variant spellings of names typed by people (problem 3).
 
 Suffix blocking: names are indexed by the suffixes of their tokens. A suffix that too many names
-share is refined by the beginning of the name's other tokens, twice if need be, and only then is
+share is refined by the beginning of the name's other tokens, again if need be, and only then is
 the plain suffix given up; the last refinement is kept whole, so nothing is cut off. Pairs that
 share a key are compared token by token with the longest-common-subsequence ratio.
 """
@@ -22,7 +22,7 @@ from foliant.session import cut
 MIN_SUFFIX = 4
 #: Names in a block before its key is refined.
 MAX_BLOCK = 24
-REFINE = (3, 5)
+REFINE = (1, 3, 5)
 HEAD = 5
 #: Tokens in at least this share of the names tell a line of business, not a house.
 COMMON_SHARE = 0.01
@@ -55,7 +55,6 @@ def lcs(a: str, b: str) -> int:
     return len(b) - row.bit_count()
 
 
-@lru_cache(200_000)
 def ratio(a: str, b: str) -> float:
     """2 * LCS / (sum of lengths)."""
     return 2 * lcs(a, b) / (len(a) + len(b)) if a or b else 1.0
@@ -94,20 +93,25 @@ def short_for(a: str, b: str) -> bool:
     return all(ch in rest for ch in a)
 
 
-def block_keys(words: list[str]) -> list[tuple[int, str]]:
-    """(level, key): every suffix, and the suffix refined by the beginnings of the tokens.
+def block_keys(words: list[str], common: frozenset[str] = frozenset(), typed: bool = False) -> list[tuple[int, str, int]]:
+    """(level, key, place) of a name's tokens; level 0 are the suffixes of the token at ``place``.
 
-    The beginning of a long token is a key too, for typing errors in its last letters; it is
-    refined by the first letters of the other tokens, which abbreviations keep.
+    Blocks of suffixes nest, so only the shortest suffix is refined: by the beginnings of the
+    other tokens (its own for a single one), level 1 and up. A house's token without its last letters
+    is a key too, for typing errors in these, refined by the first letters of the other tokens,
+    which abbreviations keep; a typed token may be a letter longer or shorter than the listed one.
     """
-    heads = [sorted({w[:n] for w in words if len(w) >= 3}) for n in REFINE]
-    parts = {w[k:] for w in words for k in range(len(w) - MIN_SUFFIX + 1)}
-    out = [(0, s) for s in parts]
-    for w in {w for w in words if len(w) > HEAD}:
-        head = "^" + w[:HEAD]
-        out += [(0, head)] + [(1, f"{head}|{x}") for x in sorted({v[0] for v in words if v != w} or {""})]
-    for level, names in enumerate(heads, 1):
-        out += [(level, f"{s}|{h}") for s in parts for h in names]
+    out = []
+    for i, w in enumerate(words):
+        others = [v for j, v in enumerate(words) if j != i] or [w]
+        out += [(0, w[k:], i) for k in range(len(w) - MIN_SUFFIX + 1)]
+        if len(w) >= MIN_SUFFIX:
+            for level, n in enumerate(REFINE, 1):
+                out += [(level, f"{w[-MIN_SUFFIX:]}|{h}", i) for h in sorted({v[:n] for v in others if len(v) >= 3})]
+        if len(w) > HEAD and w not in common:
+            sizes = {max(HEAD, len(w) - HEAD + k) for k in ((-1, 0, 1) if typed else (0,))}
+            for head in sorted({"^" + w[:n] for n in sizes}):
+                out += [(0, head, -1 - i)] + [(1, f"{head}|{x}", -1 - i) for x in sorted({v[0] for v in others})]
     return out
 
 
@@ -116,68 +120,100 @@ class Comparer:
 
     def __init__(self, common: frozenset[str]) -> None:
         self.common = common
-        self.memo: dict[str, bool] = {}
+        self.memo: dict[str, tuple[str, float]] = {}
 
-    def is_common(self, t: str) -> bool:
+    def closest(self, t: str) -> tuple[str, float]:
+        """The common token that a token is, abbreviates or resembles most, and how much."""
         known = self.memo.get(t)
         if known is None:
-            known = self.memo[t] = t in self.common or any(
-                (len(t) >= 3 and short_for(t, w)) or (len(t) >= 5 and ratio(t, w) >= 0.8) for w in self.common
-            )
+            if t in self.common:
+                known = t, 1.0
+            else:
+                known = max(((ratio(t, w), w) for w in self.common), default=(0.0, ""))[::-1]
+            if len(self.memo) > 300_000:
+                self.memo.clear()
+            self.memo[t] = known
         return known
 
+    def is_common(self, t: str) -> bool:
+        word, s = self.closest(t)
+        return s >= 0.8 and len(t) >= 5 or s == 1.0 or len(t) >= 3 and any(short_for(t, w) for w in self.common)
+
     def like(self, a: str, b: str) -> float:
+        """How far a typed token stands for the common token b."""
         if a == b:
             return 1.0
-        if b not in self.common:
-            return ratio(a, b)
         if a in self.common:
             return 0.0
         if short_for(a, b):
             return 0.96
-        s = ratio(a, b)
-        return s if s >= max((ratio(a, w) for w in self.common), default=0.0) else 0.0
+        word, s = self.closest(a)
+        return s if word == b else 0.0
 
     def score(self, typed: list[str], listed: list[str], optional: list[str]) -> float:
-        """1 for the same words, 0 for another line of business; ACCEPT and more is a match."""
+        """1 for the same words, 0 for another house or line of business; ACCEPT and more is a match."""
         if not typed or not listed:
             return 0.0
         if sorted(typed) == sorted(listed) or "".join(typed) == "".join(listed):
             return 1.0
-        left = self._aligned(typed, listed)
-        total, weight, missing, house = 0.0, 0, 0.0, False
-        for b in sorted(listed, key=len, reverse=True):
-            best, at = 0.0, ()
-            for i, a in enumerate(left):
-                s = self.like(a, b)
+        house = [b for b in listed if b not in self.common and b not in optional]
+        if not house:
+            return 0.0
+        left = self._without_house(typed, house)
+        if left is None:
+            parted = self._parted(typed, listed)
+            left = self._without_house(parted, house) if parted != typed else None
+            if left is None:
+                return 0.0
+        rest, total = left
+        weight, missing = sum(map(len, house)), 0.0
+        for b in listed:
+            if b in house:
+                continue
+            best, at = 0.0, -1
+            for i, a in enumerate(rest):
+                s = self.like(a, b) if b in self.common else ratio(a, b)
                 if s > best:
-                    best, at = s, (i,)
-                if best < 1 and i + 1 < len(left):
-                    s = self.like(a + left[i + 1], b)
-                    if s > best + 0.1:
-                        best, at = s, (i, i + 1)
-            if best < (COMMON_LIKE if b in self.common else HOUSE_LIKE):
-                missing += 0.04 if b in optional else 0.12 if b in self.common else 0.3
+                    best, at = s, i
+            if best < COMMON_LIKE:
+                missing += 0.04 if b in optional else 0.12
                 continue
-            left = [a for i, a in enumerate(left) if i not in at]
+            rest = rest[:at] + rest[at + 1 :]
             total, weight = total + best * len(b), weight + len(b)
-            house = house or (b not in self.common and b not in optional)
-        if not house:
-            return 0.0
-        for a in left:
+        for a in rest:
             if self.is_common(a):
                 return 0.0
             missing += 0.1 if len(a) >= 3 else 0.03
         return max(0.0, total / weight - missing)
 
-    def _aligned(self, typed: list[str], listed: list[str]) -> list[str]:
+    def _without_house(self, typed: list[str], house: list[str]) -> tuple[list[str], float] | None:
+        """(typed tokens left, likeness by length) once every token of the house is found, else null."""
+        rest, total = list(typed), 0.0
+        for b in house:
+            best, at, n = HOUSE_LIKE, -1, len(b)
+            for i, a in enumerate(rest):
+                if 2 * min(len(a), n) >= best * (len(a) + n):
+                    s = 1.0 if a == b else ratio(a, b)
+                    if s >= best:
+                        best, at, wide = s, i, 1
+                if i + 1 < len(rest) and len(a) < n and abs(len(a) + len(rest[i + 1]) - n) <= 2:
+                    s = ratio(a + rest[i + 1], b)
+                    if s > best or at < 0 and s >= best:
+                        best, at, wide = s, i, 2
+            if at < 0:
+                return None
+            rest[at : at + wide] = []
+            total += best * n
+        return rest, total
+
+    def _parted(self, typed: list[str], listed: list[str]) -> list[str]:
         """Typed tokens, those that run two listed ones together cut apart."""
         out = []
         for a in typed:
             cut_at = None
-            if len(a) >= 8 and max(ratio(a, b) for b in listed) < 0.9:
+            if len(a) >= 8:
                 for b, c in zip(listed, listed[1:]):
-                    if ratio(a, b + c) >= 0.88:
+                    if abs(len(a) - len(b) - len(c)) <= 2 and ratio(a, b + c) >= 0.88:
                         cut_at = max(range(1, len(a)), key=lambda k: ratio(a[:k], b) + ratio(a[k:], c))
             out += [a] if cut_at is None else [a[:cut_at], a[cut_at:]]
         return out
@@ -194,12 +230,14 @@ def _words(df: DataFrame, name: str = "name") -> DataFrame:
     return out.withColumn("words", F.col("__w.words")).withColumn("towns", F.col("__w.towns")).drop("__w")
 
 
-def _keys(df: DataFrame, id_cols: list[str]) -> DataFrame:
-    @F.pandas_udf("array<struct<level int, key string>>")
+def _keys(df: DataFrame, id_col: str, common: frozenset[str], typed: bool = False) -> DataFrame:
+    shared = df.sparkSession.sparkContext.broadcast(common)
+
+    @F.pandas_udf("array<struct<level int, key string, place int>>")
     def make(words: pd.Series) -> pd.Series:
-        return pd.Series([[{"level": a, "key": k} for a, k in block_keys(list(w))] for w in words])
+        return pd.Series([[{"level": a, "key": k, "place": p} for a, k, p in block_keys(list(w), shared.value, typed)] for w in words])
 
-    return df.select(*id_cols, F.explode(make("words")).alias("k")).select(*id_cols, "k.level", "k.key")
+    return df.select(id_col, F.explode(make("words")).alias("k")).select(id_col, "k.level", "k.key", "k.place").distinct()
 
 
 def issuers(companies: DataFrame) -> DataFrame:
@@ -281,27 +319,31 @@ def short_forms(companies: DataFrame, names: DataFrame, common: frozenset[str])
     )
 
 
-def candidates(typed: DataFrame, names: DataFrame) -> DataFrame:
-    """(typed_id, name_id) of pairs that share a block key, once each."""
-    keys = cut(_keys(names, ["name_id"]))
-    size = keys.filter("level < 2").groupBy("key").agg(F.count("*").alias("n"))
-    big = size.filter(F.col("n") > MAX_BLOCK).select("key")
-    plain = F.substring_index("key", "|", 1)
-    # A suffix is refined where its block is large, a refined key again where its block still is.
-    level0 = keys.filter("level = 0").join(big, "key", "left_anti")
-    level1 = keys.filter("level = 1").withColumn("s", plain).join(big.withColumnRenamed("key", "s"), "s", "left_semi").drop("s")
+def candidates(typed: DataFrame, names: DataFrame, common: frozenset[str]) -> DataFrame:
+    """(typed_id, name_id) of pairs that share a block key, once each.
+
+    A name is indexed under the shortest suffix of each token whose block is small; where the
+    shortest suffix of all is shared by too many, under its refinement, and refined again where that
+    block is still large. A typed name looks under all its keys.
+    """
+    keys = cut(_keys(names, "name_id", common))
+    size = keys.filter(F.col("level") < len(REFINE)).groupBy("key").agg(F.count_distinct("name_id").alias("n"))
+    big = cut(size.filter(F.col("n") > MAX_BLOCK).select("key"))
+    small0 = keys.filter("level = 0").join(big, "key", "left_anti")
+    index = small0.groupBy("name_id", "place").agg(F.min_by("key", F.length("key")).alias("key")).select("name_id", "key")
     head = F.col("key").startswith("^")
-    small1 = level1.filter(~head).join(big, "key", "left_anti").unionByName(level1.filter(head))
-    deep = level1.filter(~head).join(big, "key", "left_semi").select("name_id", plain.alias("s"), F.substring_index("key", "|", -1).alias("h")).distinct()
-    level2 = (
-        keys.filter("level = 2")
-        .withColumn("s", plain)
-        .withColumn("h", F.substring(F.substring_index("key", "|", -1), 1, REFINE[0]))
-        .join(deep, ["name_id", "s", "h"], "left_semi")
-        .select("name_id", "key")
-    )
-    index = level0.select("name_id", "key").unionByName(small1.select("name_id", "key")).unionByName(level2)
-    probe = _keys(typed, ["typed_id"]).select("typed_id", "key")
+    suffix, begun = F.substring_index("key", "|", 1), F.substring_index("key", "|", -1)
+    crowded = big.withColumnRenamed("key", "parent")
+    heads = keys.filter((F.col("level") == 1) & head).withColumn("parent", suffix).join(crowded, "parent", "left_semi")
+    index = index.unionByName(heads.select("name_id", "key"))
+    for level in range(1, len(REFINE) + 1):
+        own = keys.filter((F.col("level") == level) & ~head)
+        parent = suffix if level == 1 else F.concat(suffix, F.lit("|"), F.substring(begun, 1, REFINE[level - 2]))
+        own = own.withColumn("parent", parent).join(crowded, "parent", "left_semi")
+        own = own if level == len(REFINE) else own.join(big, "key", "left_anti")
+        index = index.unionByName(own.select("name_id", "key"))
+    index = index.distinct()
+    probe = _keys(typed, "typed_id", common, True).select("typed_id", "key").distinct()
     return probe.join(index, "key").select("typed_id", "name_id").distinct()
 
 
@@ -329,7 +371,7 @@ def link_names(typed: DataFrame, companies: DataFrame, id_col: str = "label_id",
             )
 
     pairs = (
-        candidates(spelling, names)
+        candidates(spelling, names, common)
         .join(spelling.select("typed_id", F.col("words").alias("typed_words")), "typed_id")
         .join(names.select("name_id", "issuer", "words", "towns"), "name_id")
     )
