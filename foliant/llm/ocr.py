@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ TRAIN_WORDS, TRAIN_LINES = 1_500, 6_000
 REPLACE, JOIN, FURNITURE = 0.5, 0.5, 0.5
 #: A candidate must be so many times as frequent as the word it replaces.
 RATIO = 5.0
+#: Different tokens a task holds before it passes its counts on; it changes memory, never a count.
+TALLY_TOKENS = 300_000
 EDGE = 2
 SEED = 11
 
@@ -41,12 +44,12 @@ CONFUSED = (
 _SHAPES = {(a, b) for a, b in CONFUSED} | {(b, a) for a, b in CONFUSED}
 _ENDINGS = ("s", "es", "ed", "d", "ing", "ly", "er", "r", "n", "y", "al")
 HYPHENS = "-¬‐­"
-_BREAK = r"[-¬‐­][ \t]*\r?\n[ \t]*"
-_SPLIT = r"[\s\-/¬‐­–—|]+"
+_PARTING = "\n\t\r\f\v-/¬‐\u00ad–—|\u00a0\u2003\u2009\u202f"
 _EDGES = r"^[^\p{L}\p{N}@+!]+|[^\p{L}\p{N}@+]+$"
 _PY_SPLIT = re.compile(r"[\s\-/¬‐­–—|]+")
 _PY_EDGES = re.compile(r"^(?:(?![@+!])[\W_])+|(?:(?![@+])[\W_])+$")
 _NUMBER = re.compile(r"^[\W_]*(?:(?:page|pg|p|p[a-z]g[a-z])\b[\W_]*)?([0-9lIoOSsiBbZzqg|]{1,4})(?:[\W_]*(?:of|/)[\W_]*[0-9lIoOSsB]{1,4})?[\W_]*$", re.I)
+_PLAIN_NUMBER = re.compile(r"^[\d.,%:()]*$")
 _MIXED_OK = re.compile(r"^(?:q[1-4]|h[12]|fy\d+|\d+(?:st|nd|rd|th)|iso\d*|[a-z]\d{1,2}|\d+[a-z])$")
 
 
@@ -154,20 +157,37 @@ def word_counts(texts: list[DataFrame]) -> DataFrame:
 
     ``n`` counts words broken over lines as one word, ``n_whole`` only words that stand in one line.
     """
-    parts = []
-    for t in texts:
-        broken = r"(?<=\p{L})" + _BREAK + r"(?=\p{Ll})"
-        marked = F.regexp_replace(F.col("text"), broken, "\u0001")
-        parts.append(t.select(F.explode(F.split(marked, _SPLIT)).alias("w")))
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
+    broken = re.compile(r"(?<=[^\W\d_])[-¬‐\u00ad][ \t]*\r?\n[ \t]*(?=[^\W\d_A-Z])")
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
+
+        def out() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["w", "n"])
+            seen.clear()
+            return made
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if text:
+                    seen.update(broken.sub("\u0001", text).split())
+            if len(seen) > TALLY_TOKENS:
+                yield out()
+        yield out()
+
+    every = texts[0].select("text")
+    for t in texts[1:]:
+        every = every.unionByName(t.select("text"))
+    # Whole tokens are counted where they stand; what tells a word is worked out once for each of them.
+    raw = every.mapInArrow(tally, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    plain = F.translate("w", _PARTING, " " * len(_PARTING))
+    each = raw.select(F.explode(F.split(plain, " ")).alias("w"), "n")
     word = F.lower(F.regexp_replace(F.replace(F.col("w"), F.lit("\u0001"), F.lit("")), _EDGES, ""))
     return (
-        every.select(word.alias("word"), F.contains("w", F.lit("\u0001")).alias("broken"))
+        each.select(word.alias("word"), F.contains("w", F.lit("\u0001")).alias("broken"), "n")
         .filter(r"word <> '' and word not rlike '^[0-9.,%]+$'")
         .groupBy("word")
-        .agg(F.count("*").alias("n"), F.count_if(~F.col("broken")).alias("n_whole"))
+        .agg(F.sum("n").alias("n"), F.sum(F.when(F.col("broken"), 0).otherwise(F.col("n"))).alias("n_whole"))
     )
 
 
@@ -421,23 +441,48 @@ class Reader:
     def __init__(self, trusted: dict[str, int], clean: set[str], joiner: Booster) -> None:
         self.trusted, self.clean, self.joiner = trusted, clean, joiner
         self.memo: dict[tuple[str, str, str], bool] = {}
+        self.words: dict[str, str] = {}
 
-    def joins(self, line: str, following: str) -> bool:
-        """Whether the line's last word goes on in the following line."""
-        line, following = line.rstrip(), following.strip()
-        if not line or line[-1] not in HYPHENS or not following or len(line) < 2 or not line[-2].isalnum():
-            return False
-        left, right = _PY_SPLIT.split(line[:-1])[-1], _PY_SPLIT.split(following)[0]
-        key = (left, right, line[-1])
-        known = self.memo.get(key)
+    def doubtful(self, raw: str) -> tuple[str, ...]:
+        """The words of a token that are neither known nor numbers."""
+        known = self.words.get(raw)
         if known is None:
-            x = np.array([join_features(left, right, line[-1], 0, self.trusted)])
-            known = bool(self.joiner.probability(x)[0] >= JOIN)
-            if len(self.memo) > 100_000:
-                self.memo.clear()
-            self.memo[key] = known
+            parts = (clean_word(w) for w in _PY_SPLIT.split(raw))
+            known = tuple(w for w in parts if w and w not in self.clean and not _PLAIN_NUMBER.match(w))
+            if len(self.words) > 200_000:
+                self.words.clear()
+            self.words[raw] = known
         return known
 
+    @staticmethod
+    def seam(line: str, following: str) -> tuple[str, str, str] | None:
+        """(piece before, piece after, sign) where a line ends in a hyphen after a letter or digit."""
+        line = line.rstrip()
+        if len(line) < 2 or line[-1] not in HYPHENS or not line[-2].isalnum() or not following.strip():
+            return None
+        return _PY_SPLIT.split(line[:-1])[-1], _PY_SPLIT.split(following.strip())[0], line[-1]
+
+    def prepare(self, pages: list[tuple[str | None, set[int]]]) -> None:
+        """Decides all seams of some pages at once."""
+        new = set()
+        for text, skip in pages:
+            if text and any(h + "\n" in text or h + " " in text for h in HYPHENS):
+                body = [x for k, x in enumerate(text.split("\n")) if x.strip() and k not in skip]
+                new |= {s for a, b in zip(body, body[1:]) if (s := self.seam(a, b)) and s not in self.memo}
+        if len(self.memo) > 200_000:
+            self.memo.clear()
+        order = sorted(new)
+        if order:
+            p = self.joiner.probability(np.array([join_features(a, b, m, 0, self.trusted) for a, b, m in order]))
+            self.memo.update(zip(order, (p >= JOIN).tolist()))
+
+    def joins(self, line: str, following: str) -> bool:
+        """Whether the line's last word goes on in the following line."""
+        s = self.seam(line, following)
+        if s is not None and s not in self.memo:
+            self.memo[s] = bool(self.joiner.probability(np.array([join_features(*s, 0, self.trusted)]))[0] >= JOIN)
+        return s is not None and self.memo[s]
+
     def page(self, text: str | None, skip: set[int]) -> tuple[list[int], list[tuple[int, int, int, str]]]:
         """(lines that go on, [(line, line of the word's end, length of its beginning, word)] of doubtful words)."""
         lines = (text or "").split("\n")
@@ -451,17 +496,24 @@ class Reader:
             if joins:
                 going.append(k)
                 line = line.rstrip()[:-1]
-            parts = [w for w in _PY_SPLIT.split(line) if w]
+            parts = line.split()
             if carried and parts:
                 j, head = carried
-                words.append((j, k, len(head), clean_word(head + parts[0])))
-                parts = parts[1:]
+                first, *rest = [w for w in _PY_SPLIT.split(parts[0]) if w] or [""]
+                words += [(j, k, len(head), w) for w in self.doubtful(head + first)]
+                parts[0:1] = rest
             carried = None
             if joins and parts:
-                carried = (k, parts[-1].lstrip("(\"'“‘[").lower())
-                parts = parts[:-1]
-            words += [(k, k, 0, clean_word(w)) for w in parts]
-        return going, [w for w in words if w[3] and w[3] not in self.clean and not re.fullmatch(r"[\d.,%:()]+", w[3])]
+                *rest, last = [w for w in _PY_SPLIT.split(parts[-1]) if w] or [""]
+                carried = (k, last.lstrip("(\"'“‘[").lower())
+                parts[-1:] = rest
+            for raw in parts:
+                found = self.words.get(raw)
+                if found is None:
+                    found = self.doubtful(raw)
+                if found:
+                    words += [(k, k, 0, w) for w in found]
+        return going, words
 
 
 def numeric_reading(word: str) -> str | None:
@@ -503,8 +555,10 @@ def analyse(pages: DataFrame, reference: list[DataFrame] | None = None) -> tuple
         reader = Reader(words, set(words), joiner)
         for b in batches:
             rows = []
-            for d, p, text, skip in zip(b["document_id"], b["page_no"], b["text"], b["skip"]):
-                going, doubtful = reader.page(text, set(skip) if skip is not None else set())
+            skips = [set(x) if x is not None else set() for x in b["skip"]]
+            reader.prepare(list(zip(b["text"], skips)))
+            for d, p, text, skip in zip(b["document_id"], b["page_no"], b["text"], skips):
+                going, doubtful = reader.page(text, skip)
                 rows += [(d, p, k, k, 0, "", "hyphen") for k in going]
                 rows += [(d, p, k, j, n, w, "") for k, j, n, w in doubtful]
             yield pd.DataFrame(rows, columns=["document_id", "page_no", "line_no", "end_line", "head", "word", "noise"])
