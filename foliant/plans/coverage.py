@@ -163,14 +163,15 @@ def first_failed_stage(spark, d):
     return stage_table(spark, d).select("company_id", "fy", "era", "cap_band", *STAGES[1:], "first_failed", "reason")
 
 
-_HOST = F.regexp_extract(F.lower(F.trim("source_locator")), r"^https?://([^/?#]+)", 1)
-_PRIORITY = F.when(_HOST.startswith("filings"), 10).when(_HOST.startswith("archive"), 20).when(_HOST != "", 30).otherwise(90)
+def _priority():
+    host = F.regexp_extract(F.lower(F.trim("source_locator")), r"^https?://([^/?#]+)", 1)
+    return F.when(host.startswith("filings"), 10).when(host.startswith("archive"), 20).when(host != "", 30).otherwise(90)
 
 
 def best_source_per_company_year(spark, d):
     """The report of least source priority per company and year; ties by locator and document."""
     w = Window.partitionBy("company_id", "fiscal_year").orderBy("priority", F.col("source_locator").asc_nulls_last(), "document_id", F.col("ingested_at").asc_nulls_last())
-    records = table(spark, d, "doc_records").withColumn("priority", _PRIORITY)
+    records = table(spark, d, "doc_records").withColumn("priority", _priority())
     return (
         records.withColumn("rn", F.row_number().over(w)).filter("rn = 1")
         .select("company_id", "fiscal_year", "document_id", "priority", "source_locator")
