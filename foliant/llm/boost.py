@@ -43,7 +43,7 @@ class Booster:
     def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> Booster:
         x, y = np.asarray(x, float), np.asarray(y, float)
         w = np.ones(len(y)) if weight is None else np.asarray(weight, float)
-        rate = (w @ y + 0.5) / (w.sum() + 1)
+        rate = (w @ y + 0.1) / (w.sum() + 2)  # without rows: no
         self.base = float(np.log(rate / (1 - rate)))
         cuts = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1], method="lower")) if len(c) else c for c in x.T]
         codes = np.stack([np.searchsorted(c, v, side="left") for c, v in zip(cuts, x.T)], 1) if x.size else x
@@ -84,4 +84,4 @@ class Booster:
         x = np.asarray(x, float)
         if not len(x):
             return np.zeros(0)
-        return 1 / (1 + np.exp(-self.base - sum(t.predict(x) for t in self.trees)))
+        return 1 / (1 + np.exp(-sum((t.predict(x) for t in self.trees), np.full(len(x), self.base))))

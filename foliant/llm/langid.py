@@ -25,6 +25,8 @@ TRAIN_LINES = 8_000
 BUCKETS = 1 << 16
 DIMENSION = 16
 EPOCHS = 4
+#: A model sees at least so many lines in all, so small samples are gone through more often.
+LEAST_STEPS = 8_000
 RATE = 0.5
 GRAMS = (2, 3, 4)
 #: A line is accepted at the confidence where held-out lines are wrong at most so often.
@@ -77,6 +79,7 @@ def _train(features: list[np.ndarray], labels: np.ndarray, seed: int, epochs: in
     k = len(LANGUAGES)
     table = rng.uniform(-0.5, 0.5, (BUCKETS, DIMENSION)) / DIMENSION
     out, bias = np.zeros((k, DIMENSION)), np.zeros(k)
+    epochs = max(epochs, -(-LEAST_STEPS // max(1, len(features))))
     steps = epochs * len(features)
     done, size = 0, 16
     for _ in range(epochs):

@@ -166,7 +166,7 @@ class Comparer:
             if left is None:
                 return 0.0
         rest, total = left
-        weight, missing = sum(map(len, house)), 0.0
+        weight, missing, bare = sum(map(len, house)), 0.0, len(house) == len(listed)
         for b in listed:
             if b in house:
                 continue
@@ -177,13 +177,15 @@ class Comparer:
                     best, at = s, i
             if best < COMMON_LIKE:
                 missing += 0.04 if b in optional else 0.12
+                bare = bare or b not in optional
                 continue
             rest = rest[:at] + rest[at + 1 :]
             total, weight = total + best * len(b), weight + len(b)
         for a in rest:
             if self.is_common(a):
                 return 0.0
-            missing += 0.1 if len(a) >= 3 else 0.03
+            # Beside a bare house another word is another line of business; else it may be a place.
+            missing += 0.03 if len(a) < 3 else 0.3 if bare else 0.1
         return max(0.0, total / weight - missing)
 
     def _without_house(self, typed: list[str], house: list[str]) -> tuple[list[str], float] | None:

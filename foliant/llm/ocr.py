@@ -432,6 +432,9 @@ def train_joiner(trusted: dict[str, int]) -> Booster:
         if w + other not in trusted:
             x.append(join_features(w, other, "-", 0, trusted)), y.append(0)
         x.append(join_features("", other, "-", 0, trusted)), y.append(0)
+        piece = w[: max(2, len(w) // 2)]
+        if piece not in trusted and piece + other not in trusted:  # a prefix such as pre- before a whole word
+            x.append(join_features(piece, other, "-", 0, trusted)), y.append(0)
     return Booster().fit(np.array(x), np.array(y)) if x else Booster()
 
 

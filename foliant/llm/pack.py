@@ -30,7 +30,9 @@ Load = tuple[tuple[int, int], ...]  # ((size, copies), ...) of one container
 
 
 def _groups(hist: dict[int, int], groups: int) -> list[list[int]]:
-    """Large sizes, largest first, in runs of about equal cardinality."""
+    """Large sizes, largest first, in runs of about equal cardinality; each its own if they are few."""
+    if len(hist) <= groups:
+        return [[s] for s in sorted(hist, reverse=True)]
     total, seen = sum(hist.values()), 0
     out: dict[int, list[int]] = defaultdict(list)
     for size in sorted(hist, reverse=True):
@@ -77,13 +79,21 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: i
 
 
 def plan_containers(hist: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[tuple[Load, int]]:
-    """(load, number of containers with it), for a histogram of sizes from 1 to ``capacity``."""
+    """(load, number of containers with it), for a histogram of sizes from 1 to ``capacity``.
+
+    Where rounding up costs more than the configurations gain, the plan of best fit alone is taken.
+    """
+    plans = [_plan(hist, capacity, groups), _plan(hist, capacity, 0)]
+    return min(plans, key=lambda p: sum(n for _, n in p))
+
+
+def _plan(hist: dict[int, int], capacity: int, groups: int) -> list[tuple[Load, int]]:
     if any(s < 1 or s > capacity for s in hist):
         raise ValueError("a size is not between 1 and the capacity")
     left = {s: n for s, n in hist.items() if n > 0}
     open_: dict[int, list[tuple[Load, int]]] = defaultdict(list)  # by room
     large = {s: n for s, n in left.items() if s * LARGE > capacity}
-    if large:
+    if large and groups:
         runs = _groups(large, groups)
         tops = [run[0] for run in runs]
         for copies, times in configurations(tops, [sum(large[s] for s in run) for run in runs], capacity):
