@@ -185,18 +185,10 @@ def retry_sessions(spark, d):
 def stream_failure_windows(spark, d):
     """The tumbling windows computed by a stream in complete mode of one run."""
     stream = S.read_events(spark, d).withWatermark("ts", "40 days")
-    out = _complete(S.failure_windows(stream))
+    out = S.batches(S.failure_windows(stream), "complete")
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
 
 
-def _complete(stream: DataFrame) -> DataFrame:
-    name = f"complete_{abs(hash(stream)) % 10**9}"
-    S.checkpoint_root(stream.sparkSession)
-    query = stream.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return stream.sparkSession.table(name)
-
-
 def stream_first_deliveries(spark, d):
     """Events once each through a deduplicating stream."""
     once = S.first_deliveries(S.read_events(spark, d).select("event_id", "ts", "user_id", "event_type"))
@@ -212,10 +204,7 @@ def stream_latest_per_user(spark, d):
 def stream_paced_users(spark, d):
     """Slots granted by a rate limiter that keeps state per user."""
     stream = S.paced(S.read_events(spark, d).filter("user_id is not null"))
-    name = f"paced_{abs(hash(stream)) % 10**9}"
-    query = stream.writeStream.outputMode("update").format("memory").queryName(name).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.table(name).groupBy("user_id").agg(F.max("granted").alias("granted"), F.max("delayed").alias("delayed"))
+    return S.batches(stream, "update").groupBy("user_id").agg(F.max("granted").alias("granted"), F.max("delayed").alias("delayed"))
 
 
 QUERIES = {f.__name__: f for f in (

@@ -45,6 +45,30 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
+def batches(stream: DataFrame, mode: str) -> DataFrame:
+    """What a stream gives out, each micro-batch written to the shared folder.
+
+    In complete mode the last batch is the whole result; in update mode all changes are returned.
+    """
+    spark = stream.sparkSession
+    base = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
+    done: list[str] = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        out = f"{base}/b{number}"
+        batch.write.mode("overwrite").parquet(out)
+        done.append(out)
+
+    query = (
+        stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{base}/state")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    if not done:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(*(done[-1:] if mode == "complete" else done))
+
+
 def upsert_latest(stream: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The latest row of each key, kept by merging every micro-batch into the table so far."""
     spark = stream.sparkSession
@@ -94,7 +118,7 @@ def paced(events: DataFrame, key: str = "user_id", seconds: float = 3600.0) -> D
 
     def step(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         slot, granted, delayed = state.get if state.exists else (0.0, 0, 0)
-        times = sorted(t for p in parts for t in p["ts"].astype("int64") / 1e9)
+        times = sorted(t.timestamp() for p in parts for t in p["ts"] if pd.notna(t))
         for t in times:
             delayed += t < slot
             slot = max(t, slot) + seconds
