@@ -15,6 +15,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliant.session import cut
+
 RUN_WORDS = 8
 SHARE = 0.4
 SKETCH_K = 400
@@ -105,12 +107,13 @@ def adaptive_thresholds(
 
 
 def repetition_outliers(df: DataFrame, language: Column, source: Column, ceiling: float = SHARE) -> DataFrame:
-    """Documents at or over the threshold of their language and source, with share and threshold.
+    """Documents at or over the threshold of their language and source, with share and threshold, without texts.
 
     Unknown languages and sources are groups like any other. Repeated rows are kept as they are.
     """
-    shares = repetition_share(df).withColumn("__language", F.coalesce(language, F.lit("")))
-    shares = shares.withColumn("__source", F.coalesce(source, F.lit("")))
+    shares = repetition_share(df.withColumns({"__language": F.coalesce(language, F.lit("")), "__source": F.coalesce(source, F.lit(""))}))
+    # The texts have done their work: what is kept for thresholds and join is measured once.
+    shares = cut(shares.drop("text"))
     limits = adaptive_thresholds(shares, ["__language", "__source"], ceiling=ceiling)
     return (
         shares.join(limits, ["__language", "__source"])
