@@ -205,9 +205,6 @@ class Judge:
         return main, trust / sums[main] if sums[main] else 0.0, out
 
 
-_JUDGES: dict[int, Judge] = {}
-
-
 def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang, confidence, lines array<struct<line_no, lang, confidence, n_letters>>) for each row.
 
@@ -245,7 +242,10 @@ def label_cases(documents: DataFrame, found: DataFrame, label: Column | None = N
     """(doc_id, line_no, lang): wrong and missing labels (line_no -1) and the lines of mixed texts."""
     named = documents.select("doc_id", (label if label is not None else label_language(F.col("lang"))).alias("named"))
     own = found.filter("lang is not null").join(named.distinct(), "doc_id")
-    whole = own.filter("named is null or named <> lang").select("doc_id", F.lit(-1).alias("line_no"), "lang")
-    mixed = own.filter(F.size(F.array_distinct(F.transform("lines", lambda x: x["lang"]))) > 1)
-    lines = mixed.select("doc_id", F.explode("lines").alias("x")).select("doc_id", "x.line_no", "x.lang")
-    return whole.unionByName(lines).distinct()
+    case = "array<struct<line_no: int, lang: string>>"
+    none = F.array().cast(case)
+    whole = F.when(F.col("named").isNull() | (F.col("named") != F.col("lang")), F.array(F.struct(F.lit(-1).alias("line_no"), "lang"))).otherwise(none)
+    several = F.size(F.array_distinct(F.transform("lines", lambda x: x["lang"]))) > 1
+    mixed = F.when(several, F.transform("lines", lambda x: F.struct(x["line_no"].alias("line_no"), x["lang"].alias("lang")))).otherwise(none)
+    # Both kinds come from one pass over the texts.
+    return own.select("doc_id", F.explode(F.concat(whole, mixed)).alias("x")).select("doc_id", "x.line_no", "x.lang").distinct()
