@@ -24,8 +24,8 @@ MIN_SUFFIX = 4
 MAX_BLOCK = 24
 REFINE = (1, 3, 5)
 HEAD = 5
-#: Tokens in at least this share of the names tell a line of business, not a house.
-COMMON_SHARE = 0.01
+#: Tokens that follow so many different houses tell a line of business, not a house.
+COMMON_HOUSES = 2
 ACCEPT = 0.78
 #: Least ratio at which a token stands for a listed one.
 COMMON_LIKE, HOUSE_LIKE = 0.75, 0.81
@@ -157,8 +157,8 @@ class Comparer:
         if sorted(typed) == sorted(listed) or "".join(typed) == "".join(listed):
             return 1.0
         house = [b for b in listed if b not in self.common and b not in optional]
-        if not house:
-            return 0.0
+        if not house:  # named by lines of business alone: the first token stands for the house
+            house = [b for b in listed if b not in optional][:1] or listed[:1]
         left = self._without_house(typed, house)
         if left is None:
             parted = self._parted(typed, listed)
@@ -270,11 +270,23 @@ def listed_names(companies: DataFrame) -> DataFrame:
 
 
 def common_tokens(names: DataFrame) -> frozenset[str]:
-    """Tokens outside brackets in at least COMMON_SHARE of the names: at most names' length / COMMON_SHARE of them."""
-    many = names.filter("size(words) > 1")
-    n = many.count()
-    each = many.select(F.explode(F.array_except("words", "towns")).alias("t")).groupBy("t").count()
-    return frozenset(r["t"] for r in each.filter(F.col("count") >= max(3.0, COMMON_SHARE * n)).select("t").collect())
+    """Tokens outside brackets that tell a line of business; how many names bear them does not matter.
+
+    A line of business follows at least COMMON_HOUSES different first tokens, more than the different
+    tokens that follow itself, and is rarely first. A house is first, or follows few houses and is
+    followed by its lines of business.
+    """
+    core = F.array_except("words", "towns")
+    each = names.select(core.alias("core")).filter("size(core) > 1")
+    each = each.select(F.posexplode("core").alias("at", "t"), "core")
+    after = F.col("at") > 0
+    told = each.groupBy("t").agg(
+        F.count_distinct(F.when(after, F.get("core", F.lit(0)))).alias("houses"),
+        F.count_distinct(F.get("core", F.col("at") + 1)).alias("followers"),
+        F.avg(after.cast("int")).alias("later"),
+    )
+    told = told.filter((F.col("houses") >= COMMON_HOUSES) & (F.col("houses") > F.col("followers")) & (F.col("later") > 0.5))
+    return frozenset(r["t"] for r in told.select("t").collect())
 
 
 def short_forms(companies: DataFrame, names: DataFrame, common: frozenset[str]) -> DataFrame:

@@ -147,6 +147,24 @@ def test_link_names(spark):
     assert names.link_names(typed.limit(0), companies).count() == 0 and names.link_names(typed, companies.limit(0)).count() == 0
 
 
+def test_large_house_keeps_variants(spark):
+    """A house that bears many of the names is no line of business, whatever the number of names."""
+    trade = ["Motors", "Finance", "Textiles", "Castings", "Foods"]
+    rows = [(f"V{k}", f"Vasnomapur {t} Limited") for k, t in enumerate(trade)]
+    rows += [(f"O{k}{t}", f"{house} {t} Limited") for k, house in enumerate(("Kesvedan", "Trinohul", "Belkerihul")) for t in trade[k : k + 3]]
+    rows += [("B", "Steel Motors Limited")]
+    companies = spark.createDataFrame(
+        [(c, n, None, None, "ordinary", None) for c, n in rows],
+        "company_id string, canonical_name string, aliases string, alternate_isins string, series_type string, nse_symbol string",
+    )
+    common = names.common_tokens(names.listed_names(companies))
+    assert common == {t.lower() for t in trade}
+    typed = [(1, "Vasnomapr Finance Ltd"), (2, "M/s Vasnompaur Motrs Limited"), (3, "Vasnomapur Finanse"), (4, "Vasnomapur Housing Ltd")]
+    got = {r.label_id: r.company_id for r in names.link_names(spark.createDataFrame(typed, "label_id long, company string"), companies).collect()}
+    assert got == {1: "V1", 2: "V0", 3: "V1"}
+    assert names.Comparer(frozenset({"steel", "motors"})).score(["steel", "motrs"], ["steel", "motors"], []) >= names.ACCEPT
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text("abc", max_size=12), st.text("abc", max_size=12))
 def test_lcs(a, b):
