@@ -3,7 +3,7 @@
 Words: candidates for correction come from an inverted join of character q-grams between all words
 of the corpus and the trusted ones; a gradient-boosted ranker decides whether a candidate replaces
 the word. Lines: boosted classifiers of line and neighbour decide which lines are page furniture
-and which hyphens join a word over two lines. All three are trained here, without hand labels: the
+and which words go on in the next line, with a hyphen or without. All three are trained here, without hand labels: the
 ranker and the joiner on trusted words that are misread or split on purpose, the furniture
 classifiers on lines that repeat, or count on, over the pages of long reports.
 """
@@ -407,17 +407,21 @@ def furniture(pages: DataFrame) -> DataFrame:
 
 
 def join_features(left: str, right: str, mark: str, compound: int, trusted: dict[str, int]) -> list[float]:
-    """Of the pieces of a word at a line end and the next line's beginning."""
+    """Of the pieces of a word at a line end and the next line's beginning; ``mark`` is empty where the sign is lost."""
     a, b = clean_word(left), clean_word(right)
+    rarer = min(trusted.get(a, 0), trusted.get(b, 0))
     return [
-        float(mark != "-"), float(np.log1p(trusted.get(a + b, 0))), float(np.log1p(trusted.get(a, 0))),
+        float(mark not in ("-", "")), float(not mark), float(np.log((trusted.get(a + b, 0) + 1) / (rarer + 1))), float(np.log1p(trusted.get(a + b, 0))), float(np.log1p(trusted.get(a, 0))),
         float(np.log1p(trusted.get(b, 0))), float(len(a)), float(len(b)), float(right[:1].islower()),
         float(bool(a) and a.isalpha()), float(np.log1p(compound)),
     ]
 
 
 def train_joiner(trusted: dict[str, int]) -> Booster:
-    """On trusted words split on purpose (join) and pairs of whole words after a hyphen (leave)."""
+    """On trusted words split on purpose (join) and pairs of whole words after a hyphen (leave).
+
+    Without a sign a word is split likewise; left are words that only happen to be two others in a row.
+    """
     rng = np.random.default_rng(SEED)
     words = sorted((w for w in trusted if w.isalpha()), key=lambda w: (-trusted[w], w))[:TRAIN_WORDS]
     common = words[:40]
@@ -428,9 +432,15 @@ def train_joiner(trusted: dict[str, int]) -> Booster:
                 k = int(rng.integers(2, len(w) - 1))
                 right = w[k:] if rng.random() < 0.9 else misread(w[k:], rng)
                 x.append(join_features(w[:k], right, "-" if rng.random() < 0.7 else "¬", 0, trusted)), y.append(1)
+                if trusted[w] >= RATIO * min(trusted.get(w[:k], 0), trusted.get(w[k:], 0)):
+                    x.append(join_features(w[:k], w[k:], "", 0, trusted)), y.append(1)
         other = common[int(rng.integers(len(common)))]
         if w + other not in trusted:
             x.append(join_features(w, other, "-", 0, trusted)), y.append(0)
+            x.append(join_features(w, other, "", 0, trusted)), y.append(0)
+        for k in range(1, len(w)):
+            if trusted[w] < RATIO * min(trusted.get(w[:k], 0), trusted.get(w[k:], 0)):
+                x.append(join_features(w[:k], w[k:], "", 0, trusted)), y.append(0)
         x.append(join_features("", other, "-", 0, trusted)), y.append(0)
         piece = w[: max(2, len(w) // 2)]
         if piece not in trusted and piece + other not in trusted:  # a prefix such as pre- before a whole word
@@ -438,6 +448,12 @@ def train_joiner(trusted: dict[str, int]) -> Booster:
     return Booster().fit(np.array(x), np.array(y)) if x else Booster()
 
 
+def unsigned(line: str) -> str:
+    """A line without the hyphen at its end, if it has one."""
+    line = line.rstrip()
+    return line[:-1] if line[-1:] and line[-1] in HYPHENS else line
+
+
 class Reader:
     """Lines, joins and doubtful words of one page."""
 
@@ -457,11 +473,21 @@ class Reader:
             self.words[raw] = known
         return known
 
-    @staticmethod
-    def seam(line: str, following: str) -> tuple[str, str, str] | None:
-        """(piece before, piece after, sign) where a line ends in a hyphen after a letter or digit."""
-        line = line.rstrip()
-        if len(line) < 2 or line[-1] not in HYPHENS or not line[-2].isalnum() or not following.strip():
+    def seam(self, line: str, following: str) -> tuple[str, str, str] | None:
+        """(piece before, piece after, sign) where a line ends in a hyphen after a letter or digit.
+
+        The sign is empty where it is lost: line end and beginning make a trusted word that is more
+        frequent than one of them.
+        """
+        line, following = line.rstrip(), following.lstrip()
+        if not line or not following:
+            return None
+        if line[-1].isalpha() and following[0].islower():
+            left, right = _PY_SPLIT.split(line.rsplit(None, 1)[-1])[-1], _PY_SPLIT.split(following.split(None, 1)[0])[0]
+            a, b = clean_word(left), clean_word(right)
+            n = self.trusted.get(a + b, 0)
+            return (left, right, "") if a and b and n > min(self.trusted.get(a, 0), self.trusted.get(b, 0)) else None
+        if len(line) < 2 or line[-1] not in HYPHENS or not line[-2].isalnum():
             return None
         return _PY_SPLIT.split(line[:-1])[-1], _PY_SPLIT.split(following.strip())[0], line[-1]
 
@@ -469,7 +495,7 @@ class Reader:
         """Decides all seams of some pages at once."""
         new = set()
         for text, skip in pages:
-            if text and any(h + "\n" in text or h + " " in text for h in HYPHENS):
+            if text:
                 body = [x for k, x in enumerate(text.split("\n")) if x.strip() and k not in skip]
                 new |= {s for a, b in zip(body, body[1:]) if (s := self.seam(a, b)) and s not in self.memo}
         if len(self.memo) > 200_000:
@@ -498,7 +524,7 @@ class Reader:
             joins = self.joins(line, after)
             if joins:
                 going.append(k)
-                line = line.rstrip()[:-1]
+                line = unsigned(line)
             parts = line.split()
             if carried and parts:
                 j, head = carried
@@ -620,7 +646,7 @@ def repaired(text: str, drop: set[int], going: set[int], fixes: dict[str, str])
         if not line:
             continue
         if k in going:
-            line = line.rstrip()[:-1] + "\u0000"
+            line = unsigned(line) + "\u0000"
         now = now[:-1] + line if now.endswith("\u0000") else f"{now} {line}" if now else line
         if len(line) < width / 2 and line.endswith((".", "!", "?")):
             out.append(now)

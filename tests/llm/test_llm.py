@@ -296,6 +296,22 @@ def test_scanned_text(spark):
     assert "Page" not in text and "Alpha" not in text
 
 
+def amid(spark, *lines):
+    """The pages and a page 9 of D01 that has these lines from line 3 on, between whole ones."""
+    whole = ["The department expanded insurance cover this year with members and prices and wages."] * 3
+    df = pages(spark)
+    return df.unionByName(spark.createDataFrame([("D01", 9, "\n".join([*whole, *lines, *whole]), "tesseract")], df.schema))
+
+
+def test_breaks_without_sign(spark):
+    """A word broken over lines whose hyphen is lost is joined; two whole words are left."""
+    df = amid(spark, "The committee reviewed forec", "asts this year with lenders and wag", "es and auditors. The management", "completed boiler effi", "ciency this year.")
+    got = {r.line_no for r in ocr.analyse(df)[0].collect() if r.page_no == 9 and r.noise == "hyphen"}
+    assert got == {3, 4, 6}
+    text = {r.page_no: r.paragraphs for r in ocr.repair(df).collect() if r.document_id == "D01"}[9]
+    assert "reviewed forecasts this year" in text and "and wages and auditors. The management completed boiler efficiency this" in text
+
+
 def test_scanned_text_edges(spark):
     df = spark.createDataFrame([("D", 0, None, None), ("D", 1, "", "native"), (None, 0, "x", "native"), ("E", 0, "word " * 20000, None), ("E", 0, "word " * 20000, None)], "document_id string, page_no int, text string, engine string")
     assert ocr.analyse(df)[0].count() == 0 and ocr.analyse(df.limit(0))[0].count() == 0
