@@ -40,14 +40,16 @@ CONFUSED = (
     ("m", "rn"), ("u", "ii"), ("n", "ri"), ("d", "cl"), ("w", "vv"), ("l", "1"), ("i", "l"), ("i", "1"), ("o", "0"),
     ("s", "5"), ("e", "c"), ("h", "b"), ("t", "f"), ("y", "v"), ("g", "q"), ("g", "9"), ("b", "8"), ("z", "2"),
     ("a", "o"), ("n", "u"), ("i", "j"), ("k", "lc"), ("h", "li"), ("a", "@"), ("b", "6"), ("t", "+"), ("i", "!"), ("l", "|"),
+    ("f", "£"), ("fi", "ﬁ"), ("fl", "ﬂ"),
 )
 _SHAPES = {(a, b) for a, b in CONFUSED} | {(b, a) for a, b in CONFUSED}
 _ENDINGS = ("s", "es", "ed", "d", "ing", "ly", "er", "r", "n", "y", "al")
 HYPHENS = "-¬‐­"
 _PARTING = "\n\t\r\f\v-/¬‐\u00ad–—|\u00a0\u2003\u2009\u202f"
-_EDGES = r"^[^\p{L}\p{N}@+!]+|[^\p{L}\p{N}@+]+$"
+# A pound sign beside a letter may be a misread one and belongs to the word.
+_EDGES = r"^(?:[^\p{L}\p{N}@+!£]|£(?!\p{L}))+|(?:[^\p{L}\p{N}@+£]|(?<!\p{L})£)+$"
 _PY_SPLIT = re.compile(r"[\s\-/¬‐­–—|]+")
-_PY_EDGES = re.compile(r"^(?:(?![@+!])[\W_])+|(?:(?![@+])[\W_])+$")
+_PY_EDGES = re.compile(r"^(?:(?![@+!]|£[^\W\d_])[\W_])+|(?:(?![@+]|(?<=[^\W\d_])£)[\W_])+$")
 _NUMBER = re.compile(r"^[\W_]*(?:(?:page|pg|p|p[a-z]g[a-z])\b[\W_]*)?([0-9lIoOSsiBbZzqg|]{1,4})(?:[\W_]*(?:of|/)[\W_]*[0-9lIoOSsB]{1,4})?[\W_]*$", re.I)
 _PLAIN_NUMBER = re.compile(r"^[\d.,%:()]*$")
 _MIXED_OK = re.compile(r"^(?:q[1-4]|h[12]|fy\d+|\d+(?:st|nd|rd|th)|iso\d*|[a-z]\d{1,2}|\d+[a-z])$")
@@ -203,7 +205,8 @@ def corrections(counts: DataFrame, trusted: dict[str, int], ranker: Booster) ->
     """(word, replacement, probability) of the words that are misread; found for every word of the corpus.
 
     The inverted join is by trigram and length, the trusted side within one letter; trusted words
-    are candidates and may be replaced themselves by much more frequent ones.
+    are candidates and may be replaced themselves by much more frequent ones. Left out are words without
+    a Latin letter and words with letters of another script.
     """
     spark = counts.sparkSession
     shared = spark.sparkContext.broadcast(ranker)
@@ -211,7 +214,7 @@ def corrections(counts: DataFrame, trusted: dict[str, int], ranker: Booster) ->
     lexicon = spark.createDataFrame(rows or [("", 0)], "other string, other_n long").filter("other <> ''")
     gram = lambda c: F.explode(F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.length(c) + 2), lambda i: F.substring(F.concat(F.lit("##"), c, F.lit("##")), i, F.lit(3)))))
-    words = counts.filter(F.col("word").rlike("[a-z]") & ~F.col("word").rlike("[^\\x00-\\x7f]") & (F.length("word") > 1))
+    words = counts.filter(F.col("word").rlike(r"\p{IsLatin}") & ~F.col("word").rlike(r"[\p{L}&&[^\p{IsLatin}]]") & (F.length("word") > 1))
     index = lexicon.select("other", "other_n", F.length("other").alias("size"), gram(F.col("other")).alias("g"))
     probe = words.select("word", "n", gram(F.col("word")).alias("g"))
     probe = probe.select("word", "n", "g", F.explode(F.array(*[F.length("word") + k for k in (-1, 0, 1)])).alias("size"))

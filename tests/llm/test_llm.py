@@ -312,6 +312,16 @@ def test_breaks_without_sign(spark):
     assert "reviewed forecasts this year" in text and "and wages and auditors. The management completed boiler efficiency this" in text
 
 
+def test_misread_outside_ascii(spark):
+    """Signs and letters outside ASCII are misread letters too; other scripts are left alone."""
+    df = amid(spark, "The committee reviewed quarterly £orecasts this year", "with £actories and boiler e£ficiency.", "Capital of £500 with कंपनी and members.")
+    lines, words = (x.collect() for x in ocr.analyse(df))
+    assert {r.line_no for r in lines if r.page_no == 9 and r.noise == "misread"} == {3, 4}
+    got = {(r.word, r.replacement) for r in words if r.page_no == 9}
+    assert got == {("£orecasts", "forecasts"), ("£actories", "factories"), ("e£ficiency", "efficiency")}
+    assert [ocr.clean_word(w) for w in ("£500", "(roo£top),", "£rom", "£.")] == ["500", "roo£top", "£rom", ""]
+
+
 def test_scanned_text_edges(spark):
     df = spark.createDataFrame([("D", 0, None, None), ("D", 1, "", "native"), (None, 0, "x", "native"), ("E", 0, "word " * 20000, None), ("E", 0, "word " * 20000, None)], "document_id string, page_no int, text string, engine string")
     assert ocr.analyse(df)[0].count() == 0 and ocr.analyse(df.limit(0))[0].count() == 0
