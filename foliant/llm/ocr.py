@@ -619,14 +619,14 @@ def analyse(pages: DataFrame, reference: list[DataFrame] | None = None) -> tuple
     return lines, words.select("document_id", "page_no", "line_no", "word", "replacement")
 
 
-def repaired(text: str, drop: set[int], going: set[int], fixes: dict[str, str]) -> str:
+def repaired(text: str, drop: set[int], going: set[int], fixes: dict[str, str], width: int | None = None) -> str:
     """Paragraphs of a page: furniture dropped, broken words joined, misread words replaced.
 
     A blank line, an indented line and a line of less than half of the page's width that ends a
     sentence part paragraphs.
     """
     lines = text.split("\n")
-    width = max((len(x) for x in lines), default=0)
+    width = max((len(x) for x in lines), default=0) if width is None else width
     out: list[str] = []
     now = ""
 
@@ -659,10 +659,49 @@ def repaired(text: str, drop: set[int], going: set[int], fixes: dict[str, str])
     return "\n\n".join(" ".join(fixed(w) for w in p.split()) for p in out)
 
 
+def repaired_blocks(text: str | None, blocks: list, drop: set[int], going: set[int], fixes: dict[str, str]) -> list:
+    """The blocks of a page with their texts repaired like the page's own; null blocks and texts stay null.
+
+    Lines of blocks are matched to equal lines of the page, whatever the order of the blocks; lines
+    that the page lacks have no marks, but their words are replaced. A word that goes on in another
+    block is joined in the block that begins it. A block of furniture alone has the empty text.
+    """
+    page = (text or "").split("\n")
+    at: dict[str, list[int]] = {}
+    for k in reversed(range(len(page))):
+        at.setdefault(page[k].strip(), []).append(k)
+    parts = [None if b is None or b["text"] is None else b["text"].split("\n") for b in blocks]
+    place: dict[int, tuple[int, int]] = {}
+    for i, lines in enumerate(parts):
+        for j, x in enumerate(lines or ()):
+            if x.strip() and at.get(x.strip()):
+                place[at[x.strip()].pop()] = (i, j)
+    body = [k for k, x in enumerate(page) if x.strip() and k not in drop]
+    marks = {i: set() for i in range(len(parts))}
+    for k, after in zip(body, body[1:]):
+        if k in going and k in place:
+            i, j = place[k]
+            if after in place and place[after][0] != i:
+                m, n = place[after]
+                first, *rest = parts[m][n].strip().split(None, 1)
+                parts[i][j] = unsigned(parts[i][j]) + first
+                parts[m][n] = rest[0] if rest else ""
+            else:
+                marks[i].add(j)
+    dropped = {i: {place[k][1] for k in drop if k in place and place[k][0] == i} for i in range(len(parts))}
+    width = max((len(x) for x in page), default=0)
+    out = []
+    for i, (b, lines) in enumerate(zip(blocks, parts)):
+        new = None if lines is None else repaired("\n".join(lines), dropped[i], marks[i], fixes, width)
+        out.append(None if b is None else {**(b if isinstance(b, dict) else b.asDict()), "text": new})
+    return out
+
+
 def repair(pages: DataFrame, reference: list[DataFrame] | None = None) -> DataFrame:
     """(document_id, page_no, paragraphs): the text of each page as continuous readable paragraphs.
 
-    Null texts give null, empty ones the empty string.
+    Null texts give null, empty ones the empty string. If ``pages`` has blocks, so has the result:
+    the same blocks with their texts repaired; of repeated rows one that has blocks counts.
     """
     lines, words = (cut(x) for x in analyse(pages, reference))
     key = ["document_id", "page_no"]
@@ -680,8 +719,20 @@ def repair(pages: DataFrame, reference: list[DataFrame] | None = None) -> DataFr
             ]
         )
 
-    own = pages.select(*key, "text").distinct()
-    return (
-        own.join(drop, key, "left").join(going, key, "left").join(fixes, key, "left")
-        .select(*key, mend("text", "drop", "going", "fixes").alias("paragraphs"))
-    )
+    if "blocks" not in pages.columns:
+        own = pages.select(*key, "text").distinct()
+    else:
+        own = pages.groupBy(*key, "text").agg(F.max("blocks").alias("blocks"))
+    marked = own.join(drop, key, "left").join(going, key, "left").join(fixes, key, "left")
+    out = [*key, mend("text", "drop", "going", "fixes").alias("paragraphs")]
+    if "blocks" in pages.columns:
+        kind = pages.schema["blocks"].dataType
+
+        @F.udf(kind)
+        def mend_blocks(text, blocks, d, g, f):
+            if blocks is None:
+                return None
+            return repaired_blocks(text, blocks, set(d or ()), set(g or ()), {x["word"]: x["replacement"] for x in f or ()})
+
+        out.append(mend_blocks("text", "blocks", "drop", "going", "fixes").alias("blocks"))
+    return marked.select(*out)

@@ -322,6 +322,14 @@ def test_misread_outside_ascii(spark):
     assert [ocr.clean_word(w) for w in ("£500", "(roo£top),", "£rom", "£.")] == ["500", "roo£top", "£rom", ""]
 
 
+def test_blocks_repaired():
+    text = "Alpha Limited\n\nThe cornmittee reviewed fore-\ncasts of boiler effi\n\nciency this year.\nPage 3"
+    blocks = [{"y0": float(k), "text": x} for k, x in enumerate(("Page 3", "Alpha Limited", "The cornmittee reviewed fore-\ncasts of boiler effi", "ciency this year.", None, "lost cornmittee"))]
+    got = ocr.repaired_blocks(text, [*blocks, None], {0, 6}, {2, 3}, {"cornmittee": "committee"})
+    assert [b and b["text"] for b in got] == ["", "", "The committee reviewed forecasts of boiler efficiency", "this year.", None, "lost committee", None]
+    assert [b["y0"] for b in got[:6]] == [0.0, 1.0, 2.0, 3.0, 4.0, 5.0]
+
+
 def test_scanned_text_edges(spark):
     df = spark.createDataFrame([("D", 0, None, None), ("D", 1, "", "native"), (None, 0, "x", "native"), ("E", 0, "word " * 20000, None), ("E", 0, "word " * 20000, None)], "document_id string, page_no int, text string, engine string")
     assert ocr.analyse(df)[0].count() == 0 and ocr.analyse(df.limit(0))[0].count() == 0
