@@ -47,6 +47,16 @@ def p3_found(spark, d):
     return names.link_names(labels, companies).select("label_id", "company_id")
 
 
+def p3_error_rate(spark, d):
+    """Edit distance of each linked label's name to the closest name of the company it means, over its length."""
+    labels, companies = _t(spark, d, "annexure_audit_document_labels", "cohort_companies")
+    linked = names.link_names(labels, companies).select("label_id", F.col("company_id").alias("issuer"))
+    typed = labels.select("label_id", F.lower(F.trim("company")).alias("typed")).filter("typed <> ''").distinct()
+    listed = names.listed_names(companies).select("issuer", F.lower("name").alias("listed")).distinct()
+    rate = F.levenshtein("typed", "listed") * 1000 / F.length("listed")
+    return typed.join(linked, "label_id").join(listed, "issuer").groupBy("label_id", "typed").agg(F.min(rate).alias("per_mille"))
+
+
 def p3_issuers(spark, d):
     (companies,) = _t(spark, d, "cohort_companies")
     return names.issuers(companies)
@@ -103,7 +113,7 @@ def p9_shares(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_languages, p2_found, p2_consensus, p2_annotators, p3_found, p3_issuers, p4_found, p4_split, p5_found, p5_sample,
+        p1_found, p1_languages, p2_found, p2_consensus, p2_annotators, p3_found, p3_error_rate, p3_issuers, p4_found, p4_split, p5_found, p5_sample,
         p6_found, p6_paragraphs, p7_ids, p8_containers, p9_found, p9_shares,
     )
 }

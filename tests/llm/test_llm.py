@@ -244,6 +244,11 @@ def test_sample_grows_only(spark):
     assert sample.frozen_batch_sample(df.limit(0), "id", "batch").count() == 0
 
 
+def test_error_rate_of_every_linked_label(spark, data):
+    rates = {r.label_id: r.per_mille for r in queries.p3_error_rate(spark, data).collect()}
+    assert set(rates) == {r.label_id for r in queries.p3_found(spark, data).collect()} and min(rates.values()) >= 0
+
+
 def test_digests(spark):
     d = "0c" + "c" * 62
     given_ = [d, f" {d.upper()}\n", f"sha256:{d}", f"0x{d}", "-".join(d[i : i + 8] for i in range(0, 64, 8)), d[:60], "pending", "", None, "0cd" + "0" * 61]
