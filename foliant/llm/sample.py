@@ -80,13 +80,21 @@ def frozen_batch_sample(
     )
 
 
-def document_sample(records: DataFrame) -> DataFrame:
-    """The sample of report files: arrival batch is the month of the first ingestion."""
+def document_sample(records: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """The sample of report files: arrival batch is the month of the first ingestion.
+
+    A month may still grow, so batches are frozen by the load: ``earlier`` is the whole result of the
+    run before, whose rows stay as they are; only documents it lacks are drawn, in batches of their
+    own. Without ``earlier`` this is the first load, which by itself keeps no member of another run.
+    """
     first = records.select(
         normal_id(F.col("document_id")).alias("document_id"),
         F.date_format("ingested_at", "yyyy-MM").alias("batch"),
     )
-    return frozen_batch_sample(first, "document_id", "batch")
+    if earlier is None:
+        return frozen_batch_sample(first, "document_id", "batch")
+    known = earlier.select(F.col("id").alias("document_id"))
+    return earlier.unionByName(frozen_batch_sample(first.join(known, "document_id", "left_anti"), "document_id", "batch"))
 
 
 def selection_cases(records: DataFrame, selections: DataFrame) -> DataFrame:

@@ -244,6 +244,18 @@ def test_sample_grows_only(spark):
     assert sample.frozen_batch_sample(df.limit(0), "id", "batch").count() == 0
 
 
+def test_sample_keeps_members_of_a_growing_month(spark):
+    schema = "document_id string, ingested_at string"
+    old = [(f"R{i}", "2024-03-05" if i % 2 else None) for i in range(40)]
+    first = sample.document_sample(spark.createDataFrame(old, schema).withColumn("ingested_at", F.to_timestamp("ingested_at")))
+    more = old + [(f"N{i}", "2024-03-20" if i % 2 else None) for i in range(300)] + [("R1", "2020-01-01")]
+    records = spark.createDataFrame(more, schema).withColumn("ingested_at", F.to_timestamp("ingested_at"))
+    kept = {tuple(r) for r in first.collect()}
+    got = {tuple(r) for r in sample.document_sample(records, first).collect()}
+    assert kept < got and len(got) == 340 and len({r[0] for r in got}) == 340
+    assert {tuple(r) for r in sample.document_sample(records, sample.document_sample(records, first)).collect()} == got
+
+
 def test_error_rate_of_every_linked_label(spark, data):
     rates = {r.label_id: r.per_mille for r in queries.p3_error_rate(spark, data).collect()}
     assert set(rates) == {r.label_id for r in queries.p3_found(spark, data).collect()} and min(rates.values()) >= 0
