@@ -2,7 +2,7 @@
 
 Linear grouping: large sizes are rounded up inside groups of equal cardinality; the few rounded
 sizes are packed by the best configurations, found by column generation; actual items take the
-places of rounded ones; leftovers and small items follow by best fit. Items of one size are
+places of rounded ones; leftovers and small items follow by best fit. One path at every size. Items of one size are
 interchangeable, so the plan is made on the histogram of sizes, which has at most ``capacity``
 entries however many items there are. The items themselves never leave the executors.
 """
@@ -21,10 +21,11 @@ from foliant.operators.ranking import spread_rank
 from foliant.session import cut
 
 CAPACITY = 2048
-#: Sizes over capacity / LARGE are large.
-LARGE = 8
-GROUPS = 24
-BUCKETS = 64
+#: Sizes over capacity / LARGE are large and go through the groups; the rest is packed by best fit.
+LARGE = 3
+GROUPS = 96
+#: Rows a task ranks at once; classes of one size are spread over as many buckets as they need.
+BUCKET_ROWS = 1_000_000
 
 Load = tuple[tuple[int, int], ...]  # ((size, copies), ...) of one container
 
@@ -43,12 +44,17 @@ def _groups(hist: dict[int, int], groups: int) -> list[list[int]]:
 
 def _knapsack(sizes: list[int], values: np.ndarray, capacity: int) -> np.ndarray:
     """Copies of each size that fit and are worth most."""
+    order = np.argsort(sizes, kind="stable")
+    size, value = np.array(sizes)[order], np.asarray(values)[order]
+    fits = np.searchsorted(size, np.arange(capacity + 1), side="right")
     best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     for c in range(1, capacity + 1):
         best[c] = best[c - 1]
-        for k, s in enumerate(sizes):
-            if s <= c and best[c - s] + values[k] > best[c] + 1e-12:
-                best[c], pick[c] = best[c - s] + values[k], k
+        if fits[c]:
+            worth = best[c - size[: fits[c]]] + value[: fits[c]]
+            k = int(worth.argmax())
+            if worth[k] > best[c] + 1e-12:
+                best[c], pick[c] = worth[k], order[k]
     out, c = np.zeros(len(sizes)), capacity
     while c > 0:
         if pick[c] < 0:
@@ -81,19 +87,14 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: i
 def plan_containers(hist: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[tuple[Load, int]]:
     """(load, number of containers with it), for a histogram of sizes from 1 to ``capacity``.
 
-    Where rounding up costs more than the configurations gain, the plan of best fit alone is taken.
+    Always by linear grouping of the large sizes, at every size of the input.
     """
-    plans = [_plan(hist, capacity, groups), _plan(hist, capacity, 0)]
-    return min(plans, key=lambda p: sum(n for _, n in p))
-
-
-def _plan(hist: dict[int, int], capacity: int, groups: int) -> list[tuple[Load, int]]:
     if any(s < 1 or s > capacity for s in hist):
         raise ValueError("a size is not between 1 and the capacity")
     left = {s: n for s, n in hist.items() if n > 0}
     open_: dict[int, list[tuple[Load, int]]] = defaultdict(list)  # by room
     large = {s: n for s, n in left.items() if s * LARGE > capacity}
-    if large and groups:
+    if large:
         runs = _groups(large, groups)
         tops = [run[0] for run in runs]
         for copies, times in configurations(tops, [sum(large[s] for s in run) for run in runs], capacity):
@@ -181,9 +182,12 @@ def pack_items(
             F.least(F.lit(capacity), F.col("__size") - F.col("part_no") * F.lit(capacity)).cast("int").alias("n_tokens"),
         )
     )
-    hist = {r["n_tokens"]: r["n"] for r in item.filter("n_tokens > 0").groupBy("n_tokens").agg(F.count("*").alias("n")).collect()}
+    hist = {r["n_tokens"]: r["n"] for r in item.groupBy("n_tokens").agg(F.count("*").alias("n")).collect()}
+    most = max(hist.values(), default=0)
+    hist.pop(0, None)
     table = spark.sparkContext.broadcast(slots(plan_containers(hist, capacity)))
-    bucket = F.pmod(F.xxhash64(id_col, "part_no"), F.lit(BUCKETS))
+    buckets = max(64, -(-most // BUCKET_ROWS))
+    bucket = F.pmod(F.xxhash64(id_col, "part_no"), F.lit(buckets))
     ranked = spread_rank(item, ["n_tokens"], bucket, [F.col(id_col), F.col("part_no")], "__rank")
 
     @F.pandas_udf("long")

@@ -21,7 +21,8 @@ from foliant.operators.ranking import spread_rank
 from foliant.session import cut
 
 BINS = 40
-BUCKETS = 64
+#: Components a task ranks at once; those of one weight are spread over as many buckets as they need.
+BUCKET_ROWS = 1_000_000
 SPLITS = ("FIT", "VALIDATION", "HOLDOUT")
 
 
@@ -162,7 +163,8 @@ def grouped_split(records: DataFrame, companies: DataFrame, targets: dict[str, f
     dealt = deal(load, targets)
     place = {w: (np.array(sorted(r), np.int64), np.array([dealt[b] for _, _, b in sorted(r)])) for w, r in rows.items()}
     known = spark.sparkContext.broadcast(place)
-    ranked = spread_rank(weight, ["weight"], F.pmod(F.xxhash64("component"), F.lit(BUCKETS)), [F.col("component")], "__rank")
+    buckets = max(64, -(-max(hist.values(), default=0) // BUCKET_ROWS))
+    ranked = spread_rank(weight, ["weight"], F.pmod(F.xxhash64("component"), F.lit(buckets)), [F.col("component")], "__rank")
 
     @F.pandas_udf("string")
     def choose(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:

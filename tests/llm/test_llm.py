@@ -406,6 +406,18 @@ def test_plan_holds_every_item_once(hist):
     assert sum(n for _, n in plan) <= max(1, 2 * -(-total // 64))
 
 
+@pytest.mark.parametrize("items", [2_000, 20_000, 200_000])
+def test_linear_grouping_is_tight_at_every_size(items, monkeypatch):
+    rng = np.random.default_rng(3)
+    sizes = np.clip(np.exp(rng.normal(5.3, 1.1, items)), 1, 2048).astype(int)
+    hist = dict(Counter(sizes.tolist()))
+    used, solve = [], pack.configurations
+    monkeypatch.setattr(pack, "configurations", lambda *a: used.append(len(a[0])) or solve(*a))
+    containers = sum(n for _, n in pack.plan_containers(hist))
+    assert used and max(used) <= pack.GROUPS
+    assert containers <= 1.003 * (sum(s * n for s, n in hist.items()) / 2048) + 2
+
+
 def test_pack_items(spark):
     rng = random.Random(7)
     rows = [(i, rng.choice((0, 5, 300, 700, 1300, 2048, 2049, 9000, None))) for i in range(3000)] + [(5000 + i, 700) for i in range(2000)]
