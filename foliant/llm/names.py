@@ -1,9 +1,10 @@
 """Variant spellings of names typed by people (problem 3).
 
 Suffix blocking: names are indexed by the suffixes of their tokens. A suffix that too many names
-share is refined by the beginning of the name's other tokens, again if need be, and only then is
-the plain suffix given up; the last refinement is kept whole, so nothing is cut off. Pairs that
-share a key are compared token by token with the longest-common-subsequence ratio.
+share is refined by the beginning of another token, again if need be, then by a third token, and
+only then is the plain suffix given up. Names equal but for the order of their tokens and the gaps
+between them share a key of their own, whatever the length of the tokens. Pairs that share a key
+are compared token by token with the longest-common-subsequence ratio.
 """
 
 from __future__ import annotations
@@ -22,8 +23,11 @@ from foliant.session import cut
 MIN_SUFFIX = 4
 #: Names in a block before its key is refined.
 MAX_BLOCK = 24
-REFINE = (1, 3, 5)
+#: Letters of another token by which a block is refined, step by step; at last of a third token, or of the other end.
+REFINE, LAST, OWN = (1, 3, 5), 3, 2
 HEAD = 5
+#: Ratios, likenesses and tokens a task remembers; it changes speed, never a result.
+MEMO = 400_000
 #: Tokens that follow so many different houses tell a line of business, not a house.
 COMMON_HOUSES = 2
 ACCEPT = 0.78
@@ -93,26 +97,47 @@ def short_for(a: str, b: str) -> bool:
     return all(ch in rest for ch in a)
 
 
-def block_keys(words: list[str], common: frozenset[str] = frozenset(), typed: bool = False) -> list[tuple[int, str, int]]:
-    """(level, key, place) of a name's tokens; level 0 are the suffixes of the token at ``place``.
+def first_keys(words: list[str], common: frozenset[str] = frozenset(), typed: bool = False) -> list[tuple[str, int, bool]]:
+    """(key, place, whether it can be refined) of a name.
 
-    Blocks of suffixes nest, so only the shortest suffix is refined: by the beginnings of the
-    other tokens (its own for a single one), level 1 and up. A house's token without its last letters
-    is a key too, for typing errors in these, refined by the first letters of the other tokens,
-    which abbreviations keep; a typed token may be a letter longer or shorter than the listed one.
+    ``=`` keys are the whole name, its tokens sorted or run together (place 0, never refined). Of the
+    token at place i + 1: its suffixes, of which only the shortest is refined since their blocks nest,
+    or the token itself (``.``) if it is shorter than a suffix. A house's token without its last
+    letters (``^``, place -1 - i) is a key too, for typing errors in these; a typed token may be a
+    letter longer or shorter than the listed one.
     """
-    out = []
+    out = {("=" + " ".join(sorted(words)), 0, False), ("=" + "".join(words), 0, False)}
     for i, w in enumerate(words):
-        others = [v for j, v in enumerate(words) if j != i] or [w]
-        out += [(0, w[k:], i) for k in range(len(w) - MIN_SUFFIX + 1)]
-        if len(w) >= MIN_SUFFIX:
-            for level, n in enumerate(REFINE, 1):
-                out += [(level, f"{w[-MIN_SUFFIX:]}|{h}", i) for h in sorted({v[:n] for v in others if len(v) >= 3})]
+        if len(w) < MIN_SUFFIX:
+            out.add(("." + w, i + 1, True))
+        out |= {(w[k:], i + 1, k == len(w) - MIN_SUFFIX) for k in range(len(w) - MIN_SUFFIX + 1)}
         if len(w) > HEAD and w not in common:
-            sizes = {max(HEAD, len(w) - HEAD + k) for k in ((-1, 0, 1) if typed else (0,))}
-            for head in sorted({"^" + w[:n] for n in sizes}):
-                out += [(0, head, -1 - i)] + [(1, f"{head}|{x}", -1 - i) for x in sorted({v[0] for v in others})]
-    return out
+            out |= {("^" + w[: max(HEAD, len(w) - HEAD + k)], -1 - i, True) for k in ((-1, 0, 1) if typed else (0,))}
+    return sorted(out)
+
+
+def refined_keys(words: list[str], bases: list[str]) -> list[tuple[int, str, str]]:
+    """(level, key, key of the level before) of a name under its keys in crowded blocks.
+
+    Levels 1 to 3 add the beginning of another token, one letter, three, five; the last adds the
+    beginning of a third token, or the letters at the token's other end. A single token stands for
+    the other one itself.
+    """
+    out = set()
+    for base in bases:
+        for i, w in enumerate(words):
+            if not (w.startswith(base[1:]) if base[0] == "^" else w == base[1:] if base[0] == "." else w.endswith(base)):
+                continue
+            others = words[:i] + words[i + 1 :] or [w]
+            for j, v in enumerate(others):
+                key = base
+                for level, n in enumerate(REFINE, 1):
+                    key, before = f"{base}|{v[:n]}", key
+                    out.add((level, key, before))
+                own = w[-OWN:] if base[0] == "^" else w[:OWN]
+                for last in [own, *("+" + u[:LAST] for k, u in enumerate(others) if k != j)]:
+                    out.add((len(REFINE) + 1, f"{key}|{last}", key))
+    return sorted(out)
 
 
 class Comparer:
@@ -121,6 +146,34 @@ class Comparer:
     def __init__(self, common: frozenset[str]) -> None:
         self.common = common
         self.memo: dict[str, tuple[str, float]] = {}
+        self.ratios: dict[tuple[str, str], float] = {}
+        self.letters: dict[str, int] = {}
+
+    def _letters(self, t: str) -> int:
+        known = self.letters.get(t)
+        if known is None:
+            if len(self.letters) > MEMO:
+                self.letters.clear()
+            known = 0
+            for ch in t:
+                known |= 1 << (ord(ch) & 63)
+            self.letters[t] = known
+        return known
+
+    def near(self, a: str, b: str, least: float) -> float:
+        """The ratio of two tokens if it is at least ``least``, else 0; unlike ones are told by length and letters."""
+        if a == b:
+            return 1.0
+        both = len(a) + len(b)
+        x, y = self._letters(a), self._letters(b)
+        if 2 * min(len(a) - (x & ~y).bit_count(), len(b) - (y & ~x).bit_count()) < least * both:
+            return 0.0
+        known = self.ratios.get((a, b))
+        if known is None:
+            if len(self.ratios) > MEMO:
+                self.ratios.clear()
+            known = self.ratios[a, b] = 2 * lcs(a, b) / both
+        return known if known >= least else 0.0
 
     def closest(self, t: str) -> tuple[str, float]:
         """The common token that a token is, abbreviates or resembles most, and how much."""
@@ -130,7 +183,7 @@ class Comparer:
                 known = t, 1.0
             else:
                 known = max(((ratio(t, w), w) for w in self.common), default=(0.0, ""))[::-1]
-            if len(self.memo) > 300_000:
+            if len(self.memo) > MEMO:
                 self.memo.clear()
             self.memo[t] = known
         return known
@@ -172,7 +225,7 @@ class Comparer:
                 continue
             best, at = 0.0, -1
             for i, a in enumerate(rest):
-                s = self.like(a, b) if b in self.common else ratio(a, b)
+                s = self.like(a, b) if b in self.common else self.near(a, b, COMMON_LIKE)
                 if s > best:
                     best, at = s, i
             if best < COMMON_LIKE:
@@ -194,12 +247,11 @@ class Comparer:
         for b in house:
             best, at, n = HOUSE_LIKE, -1, len(b)
             for i, a in enumerate(rest):
-                if 2 * min(len(a), n) >= best * (len(a) + n):
-                    s = 1.0 if a == b else ratio(a, b)
-                    if s >= best:
-                        best, at, wide = s, i, 1
+                s = self.near(a, b, best)
+                if s:
+                    best, at, wide = s, i, 1
                 if i + 1 < len(rest) and len(a) < n and abs(len(a) + len(rest[i + 1]) - n) <= 2:
-                    s = ratio(a + rest[i + 1], b)
+                    s = self.near(a + rest[i + 1], b, best)
                     if s > best or at < 0 and s >= best:
                         best, at, wide = s, i, 2
             if at < 0:
@@ -215,7 +267,7 @@ class Comparer:
             cut_at = None
             if len(a) >= 8:
                 for b, c in zip(listed, listed[1:]):
-                    if abs(len(a) - len(b) - len(c)) <= 2 and ratio(a, b + c) >= 0.88:
+                    if abs(len(a) - len(b) - len(c)) <= 2 and self.near(a, b + c, 0.88):
                         cut_at = max(range(1, len(a)), key=lambda k: ratio(a[:k], b) + ratio(a[k:], c))
             out += [a] if cut_at is None else [a[:cut_at], a[cut_at:]]
         return out
@@ -232,14 +284,32 @@ def _words(df: DataFrame, name: str = "name") -> DataFrame:
     return out.withColumn("words", F.col("__w.words")).withColumn("towns", F.col("__w.towns")).drop("__w")
 
 
-def _keys(df: DataFrame, id_col: str, common: frozenset[str], typed: bool = False) -> DataFrame:
+def _first(df: DataFrame, id_col: str, common: frozenset[str], typed: bool = False) -> DataFrame:
+    """(id, key, size, place, base) of names with ``words``; keys are hashed, ``base`` is the text of those that can be refined."""
     shared = df.sparkSession.sparkContext.broadcast(common)
 
-    @F.pandas_udf("array<struct<level int, key string, place int>>")
+    @F.pandas_udf("array<struct<key string, place int, base string>>")
     def make(words: pd.Series) -> pd.Series:
-        return pd.Series([[{"level": a, "key": k, "place": p} for a, k, p in block_keys(list(w), shared.value, typed)] for w in words])
+        return pd.Series(
+            [[{"key": k, "place": p, "base": k if more else None} for k, p, more in first_keys(list(w), shared.value, typed)] for w in words]
+        )
+
+    each = df.select(id_col, F.explode(make("words")).alias("k"))
+    return each.select(id_col, F.xxhash64("k.key").alias("key"), F.length("k.key").alias("size"), "k.place", "k.base")
+
+
+def _refined(df: DataFrame, first: DataFrame, crowded: DataFrame, id_col: str) -> DataFrame:
+    """(id, level, key, parent) of the names under their crowded keys; keys are hashed."""
+
+    @F.pandas_udf("array<struct<level int, key string, parent string>>")
+    def make(words: pd.Series, bases: pd.Series) -> pd.Series:
+        return pd.Series(
+            [[{"level": a, "key": k, "parent": p} for a, k, p in refined_keys(list(w), list(x))] for w, x in zip(words, bases)]
+        )
 
-    return df.select(id_col, F.explode(make("words")).alias("k")).select(id_col, "k.level", "k.key", "k.place").distinct()
+    own = first.filter("base is not null").join(crowded, "key", "left_semi").groupBy(id_col).agg(F.collect_set("base").alias("bases"))
+    each = df.select(id_col, "words").join(own, id_col).select(id_col, F.explode(make("words", "bases")).alias("k"))
+    return each.select(id_col, "k.level", F.xxhash64("k.key").alias("key"), F.xxhash64("k.parent").alias("parent"))
 
 
 def issuers(companies: DataFrame) -> DataFrame:
@@ -337,27 +407,24 @@ def candidates(typed: DataFrame, names: DataFrame, common: frozenset[str]) -> Da
     """(typed_id, name_id) of pairs that share a block key, once each.
 
     A name is indexed under the shortest suffix of each token whose block is small; where the
-    shortest suffix of all is shared by too many, under its refinement, and refined again where that
-    block is still large. A typed name looks under all its keys.
+    shortest suffix of all is shared by too many, under its refinements, each refined again while its
+    block is large. A typed name looks under all its keys. Refined keys are made only for names in
+    crowded blocks. The last refinement, names alike in three tokens, is kept whole.
     """
-    keys = cut(_keys(names, "name_id", common))
-    size = keys.filter(F.col("level") < len(REFINE)).groupBy("key").agg(F.count_distinct("name_id").alias("n"))
-    big = cut(size.filter(F.col("n") > MAX_BLOCK).select("key"))
-    small0 = keys.filter("level = 0").join(big, "key", "left_anti")
-    index = small0.groupBy("name_id", "place").agg(F.min_by("key", F.length("key")).alias("key")).select("name_id", "key")
-    head = F.col("key").startswith("^")
-    suffix, begun = F.substring_index("key", "|", 1), F.substring_index("key", "|", -1)
-    crowded = big.withColumnRenamed("key", "parent")
-    heads = keys.filter((F.col("level") == 1) & head).withColumn("parent", suffix).join(crowded, "parent", "left_semi")
-    index = index.unionByName(heads.select("name_id", "key"))
-    for level in range(1, len(REFINE) + 1):
-        own = keys.filter((F.col("level") == level) & ~head)
-        parent = suffix if level == 1 else F.concat(suffix, F.lit("|"), F.substring(begun, 1, REFINE[level - 2]))
-        own = own.withColumn("parent", parent).join(crowded, "parent", "left_semi")
-        own = own if level == len(REFINE) else own.join(big, "key", "left_anti")
-        index = index.unionByName(own.select("name_id", "key"))
-    index = index.distinct()
-    probe = _keys(typed, "typed_id", common, True).select("typed_id", "key").distinct()
+    keys = cut(_first(names, "name_id", common))
+    crowded = cut(keys.filter("place <> 0").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > MAX_BLOCK).select("key"))
+    small = keys.filter("place <> 0").join(crowded, "key", "left_anti")
+    index = small.groupBy("name_id", "place").agg(F.min_by("key", "size").alias("key")).select("name_id", "key")
+    index = index.unionByName(keys.filter("place = 0").select("name_id", "key"))
+    deeper = cut(_refined(names, keys, crowded, "name_id"))
+    large = cut(deeper.filter(F.col("level") <= len(REFINE)).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > MAX_BLOCK).select("key"))
+    held = deeper.join(large.withColumn("big", F.lit(True)), "key", "left")
+    reached = held.join(large.select(F.col("key").alias("parent"), F.lit(True).alias("above")), "parent", "left")
+    index = index.unionByName(
+        reached.filter("(level = 1 or above) and big is null").select("name_id", "key")
+    ).distinct()
+    probe = cut(_first(typed, "typed_id", common, True))
+    probe = probe.select("typed_id", "key").unionByName(_refined(typed, probe, crowded, "typed_id").select("typed_id", "key")).distinct()
     return probe.join(index, "key").select("typed_id", "name_id").distinct()
 
 
@@ -371,9 +438,12 @@ def link_names(typed: DataFrame, companies: DataFrame, id_col: str = "label_id",
     """
     spark = typed.sparkSession
     use = typed.select(id_col, F.trim(name_col).alias("name")).filter("name <> ''").distinct()
-    names = cut(listed_names(companies).withColumn("name_id", F.xxhash64("issuer", "name")))
+    # Keys are many times the names: the names are spread before they are made.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = cut(listed_names(companies).withColumn("name_id", F.xxhash64("issuer", "name")).repartition(tasks, "name_id"))
     common = common_tokens(names)
-    spelling = cut(_words(use.select("name").distinct()).filter("size(words) > 0").withColumn("typed_id", F.xxhash64("name")))
+    spelling = use.select("name").distinct().withColumn("typed_id", F.xxhash64("name")).repartition(tasks, "typed_id")
+    spelling = cut(_words(spelling).filter("size(words) > 0"))
     shared = spark.sparkContext.broadcast(common)
 
     @F.pandas_udf("double")
