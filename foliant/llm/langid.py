@@ -23,14 +23,15 @@ from foliant.llm.labels import LANGUAGES, label_language
 #: At most so many labelled lines are used to fit the model, those of the smallest hashes.
 TRAIN_LINES = 8_000
 BUCKETS = 1 << 16
-DIMENSION = 16
+DIMENSION = 8
 EPOCHS = 4
 #: A model sees at least so many lines in all, so small samples are gone through more often.
 LEAST_STEPS = 8_000
 RATE = 0.5
 GRAMS = (2, 3, 4)
-#: A line is accepted at the confidence where held-out lines are wrong at most so often.
-ACCEPT_ERROR = 0.005
+#: A line is accepted from the lowest level at which held-out lines are wrong at most so often; no
+#: level lies under one half, where the other languages together are likelier.
+ACCEPT_ERROR, LEVELS = 0.005, np.linspace(0.5, 0.99, 50)
 #: Folds for relabelling, how often it is done, and the confidence from which a new label is kept.
 FOLDS, CLEANINGS, KEEP = 3, 2, 0.5
 MEMO_WORDS = 300_000
@@ -52,10 +53,13 @@ def subwords(word: str) -> list[int]:
     return [zlib.crc32(g.encode()) & (BUCKETS - 1) for g in sorted(grams)]
 
 
-def _features(line: str) -> np.ndarray:
+def _features(line: str, memo: dict[str, list[int]]) -> np.ndarray:
     out: list[int] = []
     for w in _WORD.findall(line.lower()):
-        out += subwords(w)
+        known = memo.get(w)
+        if known is None:
+            known = memo[w] = subwords(w)
+        out += known
     return np.array(out, np.int64)
 
 
@@ -77,8 +81,11 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def _train(features: list[np.ndarray], labels: np.ndarray, seed: int, epochs: int = EPOCHS) -> Model:
     rng = np.random.default_rng(seed)
     k = len(LANGUAGES)
-    table = rng.uniform(-0.5, 0.5, (BUCKETS, DIMENSION)) / DIMENSION
-    out, bias = np.zeros((k, DIMENSION)), np.zeros(k)
+    table = (rng.uniform(-0.5, 0.5, (BUCKETS, DIMENSION)) / DIMENSION).astype(np.float32)
+    # What repeats in a line is looked up once.
+    own = [(u, n.astype(np.float32)) for u, n in (np.unique(f, return_counts=True) for f in features)]
+    total = np.array([len(f) for f in features], np.float32)
+    out, bias = np.zeros((k, DIMENSION), np.float32), np.zeros(k, np.float32)
     epochs = max(epochs, -(-LEAST_STEPS // max(1, len(features))))
     steps = epochs * len(features)
     done, size = 0, 16
@@ -86,17 +93,21 @@ def _train(features: list[np.ndarray], labels: np.ndarray, seed: int, epochs: in
         order = rng.permutation(len(features))
         for at in range(0, len(order), size):
             rows = order[at : at + size]
-            flat = np.concatenate([features[i] for i in rows])
-            count = np.array([len(features[i]) for i in rows])
-            starts = np.concatenate([[0], np.cumsum(count)[:-1]])
-            mean = np.add.reduceat(table[flat], starts, axis=0) / count[:, None]
+            flat, often = (np.concatenate([own[i][x] for i in rows]) for x in (0, 1))
+            sizes, count = np.array([len(own[i][0]) for i in rows]), total[rows]
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            mean = np.add.reduceat(table[flat] * often[:, None], starts, axis=0) / count[:, None]
             grad = _softmax(mean @ out.T + bias)
             grad[np.arange(len(rows)), labels[rows]] -= 1
-            rate = RATE * (1 - done / steps)
+            rate = np.float32(RATE * (1 - done / steps))
             back = grad @ out / count[:, None]
             out -= rate * grad.T @ mean
-            bias -= rate * 0.1 * grad.sum(axis=0)
-            np.add.at(table, flat, -rate * size * np.repeat(back, count, axis=0))
+            bias -= rate / 10 * grad.sum(axis=0)
+            by_bucket = np.argsort(flat, kind="stable")
+            flat = flat[by_bucket]
+            first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+            step = (np.repeat(back, sizes, axis=0) * often[:, None])[by_bucket]
+            table[flat[first]] -= rate * size * np.add.reduceat(step, first, axis=0)
             done += len(rows)
     return Model((table @ out.T).astype(np.float32), bias.astype(np.float32))
 
@@ -107,7 +118,8 @@ def _logits(model: Model, features: np.ndarray) -> np.ndarray:
 
 def fit(lines: list[str], labels: list[str], seed: int = 7) -> Model:
     """A model of labelled lines; one fifth is held out for calibration. Needs at least one line with letters."""
-    kept = [(f, LANGUAGES.index(y)) for f, y in ((_features(x), y) for x, y in zip(lines, labels)) if len(f)]
+    memo: dict[str, list[int]] = {}
+    kept = [(f, LANGUAGES.index(y)) for f, y in ((_features(x, memo), y) for x, y in zip(lines, labels)) if len(f)]
     if not kept:
         raise ValueError("no labelled line has letters")
     features, given = [f for f, _ in kept], np.array([y for _, y in kept])
@@ -121,6 +133,8 @@ def fit(lines: list[str], labels: list[str], seed: int = 7) -> Model:
                 other = _train([features[i] for i in rest], old[rest], seed + k, 1)
                 p = np.stack([_softmax(_logits(other, features[i])) for i in own])
                 best[own], sure[own] = p.argmax(axis=1), p.max(axis=1)
+            if (best == old).all():
+                break
     clean = np.flatnonzero(sure > KEEP)
     held = clean[clean % 5 == 0]
     train = clean[clean % 5 != 0] if len(clean) > 20 else clean
@@ -133,23 +147,42 @@ def fit(lines: list[str], labels: list[str], seed: int = 7) -> Model:
     model.temperature = float(grid[int(np.argmin(loss))])
     p = _softmax(z / model.temperature)
     sure, right = p.max(axis=1), p.argmax(axis=1) == y
-    order = np.argsort(-sure)
-    error = np.cumsum(~right[order]) / np.arange(1, len(order) + 1)
+    kept = sure >= LEVELS[:, None]
+    error = (kept & ~right).sum(axis=1) / np.maximum(1, kept.sum(axis=1))
     good = np.flatnonzero(error <= ACCEPT_ERROR)
-    model.accept = float(sure[order[good[-1]]]) if len(good) else 1.0
-    model.accept = min(max(model.accept, 0.5), 0.95)
+    # Where no level keeps the error low enough, the level of the least error.
+    model.accept = float(LEVELS[good[0] if len(good) else int(error.argmin())])
     return model
 
 
+_FITTED: dict[int, Model] = {}
+
+
+def fitted(lines: list[str], labels: list[str]) -> Model:
+    """``fit``, once for the same lines and labels."""
+    mark = zlib.crc32("\0".join(labels).encode(), zlib.crc32("\0".join(lines).encode()))
+    if mark not in _FITTED:
+        _FITTED.clear()
+        _FITTED[mark] = fit(lines, labels)
+    return _FITTED[mark]
+
+
 def training_lines(df: DataFrame, text_col: str = "text", label: Column | None = None) -> tuple[list[str], list[str]]:
-    """At most TRAIN_LINES labelled lines with letters, of the smallest hashes, in that order."""
+    """At most TRAIN_LINES different labelled lines with letters, of the smallest hashes, in that order.
+
+    Repeated lines count once. A first pass estimates how many different lines there are; only
+    about twice as many as are needed, those under a bound on the hash, are then told apart.
+    """
     own = df.select(F.col(text_col).alias("t"), (label if label is not None else label_language(F.col("lang"))).alias("y"))
     each = (
         own.filter("y is not null and t is not null")
         .select("y", F.explode(F.split("t", "\r?\n")).alias("x"))
         .filter(F.col("x").rlike(r"\p{L}"))
+        .select("x", "y", F.xxhash64("x").alias("h"))
     )
-    rows = each.orderBy(F.xxhash64("x", "y"), "x", "y").limit(TRAIN_LINES).collect()
+    different = each.agg(F.approx_count_distinct("h").alias("n")).first()["n"]
+    bound = (1 << 64) * min(1.0, 2.0 * TRAIN_LINES / max(1, different)) - (1 << 63)
+    rows = each.filter(F.col("h") < F.lit(min(bound, (1 << 63) - 1)).cast("long")).distinct().orderBy("h", "x", "y").limit(TRAIN_LINES).collect()
     return [r["x"] for r in rows], [r["y"] for r in rows]
 
 
@@ -160,8 +193,8 @@ class Judge:
         self.model = model
         self.memo: dict[str, tuple[np.ndarray, int]] = {}
 
-    def line(self, line: str) -> tuple[int, float]:
-        """(language, confidence) of a line; (-1, 0) without letters."""
+    def line(self, line: str) -> np.ndarray | None:
+        """The probability of each language; null without letters."""
         total, n = np.zeros(len(LANGUAGES)), 0
         for w in _WORD.findall(line.lower()):
             known = self.memo.get(w)
@@ -172,45 +205,43 @@ class Judge:
                     self.memo.clear()
                 self.memo[w] = known
             total, n = total + known[0], n + known[1]
-        if not n:
-            return -1, 0.0
-        p = _softmax((total / n + self.model.bias) / self.model.temperature)
-        best = int(p.argmax())
-        return best, float(p[best])
-
-    def text(self, text: str | None) -> tuple[int, float, list[tuple[int, float, int]]]:
-        """(language, confidence, [(language, confidence, letters) of each line]); -1 without letters."""
-        rows = [(*self.line(x), len(_LETTER.findall(x))) for x in lines_of(text)]
+        return _softmax((total / n + self.model.bias) / self.model.temperature) if n else None
+
+    def text(self, text: str | None) -> tuple[int, float, list[tuple[int, float, int, bool]]]:
+        """(language, confidence, [(language, confidence, letters, rejected) of each line]); -1 without letters."""
+        rows = [(self.line(x), len(_LETTER.findall(x))) for x in lines_of(text)]
+        found = [(-1 if p is None else int(p.argmax()), 0.0 if p is None else float(p.max())) for p, _ in rows]
         weight = np.zeros(len(LANGUAGES))
         for accepted_only in (True, False):
-            for lang, sure, letters in rows:
+            for (lang, sure), (_, letters) in zip(found, rows):
                 if lang >= 0 and (sure >= self.model.accept or not accepted_only):
                     weight[lang] += letters
             if weight.any():
                 break
         if not weight.any():
-            return -1, 0.0, rows
-        main = int(weight.argmax())
-        out = []
-        for lang, sure, letters in rows:
-            if lang < 0 or (sure < self.model.accept and lang != main):
-                lang, sure = main, max(0.0, 1 - sure) if lang >= 0 else 1.0
-            out.append((lang, sure, letters))
-        sums = np.zeros(len(LANGUAGES))
-        trust = 0.0
-        for lang, sure, letters in out:
-            sums[lang] += letters
-            trust += letters * sure if lang == main else 0
+            return -1, 0.0, [(-1, 0.0, n, False) for _, n in rows]
+        follow = int(weight.argmax())
+        out, sums, trust = [], np.zeros(len(LANGUAGES)), np.zeros(len(LANGUAGES))
+        for (lang, sure), (p, letters) in zip(found, rows):
+            rejected = lang >= 0 and sure < self.model.accept
+            if rejected:
+                lang, sure = follow, float(p[follow])
+            out.append((lang, sure, letters, rejected))
+            if lang >= 0:
+                sums[lang] += letters
+                trust[lang] += letters * sure
         main = int(sums.argmax())
-        return main, trust / sums[main] if sums[main] else 0.0, out
+        whole = float(trust[main] / sums[main])
+        return main, whole, [(main, whole, n, r) if lang < 0 else (lang, sure, n, r) for lang, sure, n, r in out]
 
 
 def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang, confidence, lines array<struct<line_no, lang, confidence, n_letters>>) for each row.
+    """(id, lang, confidence, lines array<struct<line_no, lang, confidence, n_letters, rejected>>) for each row.
 
     Lines are the non-blank lines from 0. ``lang`` is the language with most letters. Null, empty
-    and blank texts and texts without letters have null ``lang``, confidence 0. Lines without letters and
-    rejected lines take the language of their text. Other columns are left out. Rows stay rows:
+    and blank texts and texts without letters have null ``lang``, confidence 0. Lines under the
+    acceptance level are ``rejected``: they take the language of their text, with the probability
+    that the model gives it; lines without letters take language and confidence of their text. Other columns are left out. Rows stay rows:
     repeated ids give repeated results. Only the model (4 numbers a bucket) is broadcast.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -218,7 +249,7 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     id_type = source.schema[id_col].dataType.simpleString()
     schema = (
         f"`{id_col}` {id_type}, lang string, confidence double, "
-        "lines array<struct<line_no: int, lang: string, confidence: double, n_letters: int>>"
+        "lines array<struct<line_no: int, lang: string, confidence: double, n_letters: int, rejected: boolean>>"
     )
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -229,8 +260,8 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 lang, sure, each = judge.text(text)
                 name = LANGUAGES[lang] if lang >= 0 else None
                 parts = [
-                    {"line_no": k, "lang": LANGUAGES[x] if x >= 0 else None, "confidence": p, "n_letters": n}
-                    for k, (x, p, n) in enumerate(each)
+                    {"line_no": k, "lang": LANGUAGES[x] if x >= 0 else None, "confidence": p, "n_letters": n, "rejected": r}
+                    for k, (x, p, n, r) in enumerate(each)
                 ]
                 rows.append((key, name, sure, parts))
             yield pd.DataFrame(rows, columns=[id_col, "lang", "confidence", "lines"])

@@ -13,7 +13,7 @@ def _t(spark, d, *names):
 
 
 def _identified(documents):
-    return langid.identify(documents, langid.fit(*langid.training_lines(documents)))
+    return langid.identify(documents, langid.fitted(*langid.training_lines(documents)))
 
 
 def p1_found(spark, d):

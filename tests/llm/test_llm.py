@@ -55,7 +55,7 @@ def model():
 
 def test_language_accuracy_under_noise(model):
     judge = langid.Judge(model)
-    right = [judge.line(x)[0] == langid.LANGUAGES.index(y) for y, xs in LINES.items() for x in xs]
+    right = [judge.line(x).argmax() == langid.LANGUAGES.index(y) for y, xs in LINES.items() for x in xs]
     assert np.mean(right) == 1
 
 
@@ -74,6 +74,26 @@ def test_language_cases(spark, model):
     assert langid.identify(df.limit(0), model).count() == 0
 
 
+def test_rejected_lines_keep_their_own_probability(model):
+    from dataclasses import replace
+
+    strict = langid.Judge(replace(model, accept=1.0 + 1e-9))
+    text = "\n".join((LINES["en"][0], LINES["en"][1], LINES["gu"][0]))
+    main, sure, rows = strict.text(text)
+    p = strict.line(LINES["gu"][0])
+    assert langid.LANGUAGES[main] == "en" and all(r[3] for r in rows)
+    assert rows[2][0] == main and rows[2][1] == pytest.approx(float(p[main])) and rows[2][1] < 0.5 < float(p.max())
+
+
+def test_training_lines_are_different(spark, monkeypatch):
+    rows = [("same line here", "en")] * 500 + [(f"line number {chr(97 + k % 26)} {k}", "en") for k in range(300)] + [(None, "en"), ("no label", None)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    monkeypatch.setattr(langid, "TRAIN_LINES", 100)
+    lines, labels = langid.training_lines(df)
+    assert len(lines) == len(set(lines)) == 100 and set(labels) == {"en"}
+    assert langid.training_lines(df.repartition(7)) == (lines, labels)
+
+
 def test_labels(spark):
     df = spark.createDataFrame([(x,) for x in ("EN", "en-IN", " Hindi ", "mar", "mul", "", None, "und")], "x string")
     assert [r[0] for r in df.select(label_language(F.col("x"))).collect()] == ["en", "en", "hi", "mr", None, None, None, None]
@@ -103,6 +123,25 @@ def test_consensus_beats_majority(spark):
     assert min(skill[f"good{k}"] for k in (1, 2, 3, 4)) > 0.7 > 0.4 > max(skill["lazy"], skill["copy1"], skill["copy2"])
 
 
+@pytest.mark.parametrize("local", [0, 10**6])
+def test_consensus_by_patterns_and_by_joins(spark, monkeypatch, local):
+    rng = random.Random(4)
+    rows = []
+    for i in range(150):
+        t = rng.choice(consensus.STATES)
+        rows += [(f"d{i}", f"a{k}", t if rng.random() < 0.5 + 0.05 * k else rng.choice(consensus.STATES)) for k in range(7) if rng.random() < 0.8]
+        rows.append((f"d{i}", "echo", rows[-1][2]))
+    df = votes(spark, rows)
+    monkeypatch.setattr(consensus, "DRIVER_VOTES", local)
+    items, people = consensus.consensus(df)
+    monkeypatch.setattr(consensus, "MODEL_ANNOTATORS", 3)
+    other, others = consensus.consensus(df)
+    a, b = ({r["item"]: r.consensus for r in x.collect()} for x in (items, other))
+    assert a.keys() == b.keys() and np.mean([a[k] == b[k] for k in a]) > 0.97
+    a, b = ({r.annotator: r.competence for r in x.collect()} for x in (people, others))
+    assert a.keys() == b.keys() and max(abs(a[k] - b[k]) for k in a) < 0.06
+
+
 def test_consensus_edges(spark):
     rows = [("a", "x", "PRESENT"), ("a", "x", "PRESENT"), ("b", "y", "odd"), (None, "x", "ABSENT"), ("c", None, "ABSENT"), ("a", "y", "PRESENT")]
     items, people = consensus.consensus(votes(spark, rows))
@@ -147,6 +186,35 @@ def test_link_names(spark):
     assert names.link_names(typed.limit(0), companies).count() == 0 and names.link_names(typed, companies.limit(0)).count() == 0
 
 
+def _companies(spark, rows):
+    return spark.createDataFrame(
+        [(c, n, None, None, "ordinary", None) for c, n in rows],
+        "company_id string, canonical_name string, aliases string, alternate_isins string, series_type string, nse_symbol string",
+    )
+
+
+def test_short_and_exact_names(spark):
+    """Names of short tokens have no symbol here: they are linked as written, run together and with another word mistyped."""
+    rows = [("M", "MRF Limited"), ("L", "L&T Limited"), ("A", "ABB Power Limited"), ("B", "ABB Foods Limited"), ("C", "Kes Power Limited"), ("D", "Kes Foods Ltd")]
+    typed = [(1, "MRF Limited"), (2, "L&T Limited"), (3, "L & T Ltd."), (4, "mrf"), (5, "ABB Powr Ltd"), (6, "M/s Abb Foods"), (7, "ABC Limited"), (8, "Foods ABB")]
+    got = names.link_names(spark.createDataFrame(typed, "label_id long, company string"), _companies(spark, rows)).collect()
+    assert {r.label_id: r.company_id for r in got} == {1: "M", 2: "L", 3: "L", 4: "M", 5: "A", 6: "B", 8: "B"}
+
+
+def test_crowded_blocks_are_split_to_the_end(spark):
+    """A third of the listed names share house and line of business; no block but that of like names stays large."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("bcdfghklmnprst") + rng.choice("aeiou") for _ in range(4))
+    towns = sorted({word() for _ in range(400)})
+    listed = [(k, ["vasnomapur", "power", t]) for k, t in enumerate(towns)] + [(1000 + k, [word(), "power"]) for k in range(600)]
+    typed = [(5000 + k, ["vasnomapr", "power", t]) for k, t in enumerate(towns)]
+    common = frozenset({"power"})
+    left = spark.createDataFrame(typed, "typed_id long, words array<string>")
+    got = {tuple(r) for r in names.candidates(left, spark.createDataFrame(listed, "name_id long, words array<string>"), common).collect()}
+    assert {(5000 + k, k) for k in range(len(towns))} <= got
+    assert len(got) < 30 * len(towns)
+
+
 def test_large_house_keeps_variants(spark):
     """A house that bears many of the names is no line of business, whatever the number of names."""
     trade = ["Motors", "Finance", "Textiles", "Castings", "Foods"]
