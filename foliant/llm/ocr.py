@@ -6,6 +6,10 @@ the word. Lines: boosted classifiers of line and neighbour decide which lines ar
 and which words go on in the next line, with a hyphen or without. All three are trained here, without hand labels: the
 ranker and the joiner on trusted words that are misread or split on purpose, the furniture
 classifiers on lines that repeat, or count on, over the pages of long reports.
+
+The lexicon stays a table. What goes to the tasks are models and two sieves of fixed greatest size
+(Bloom filters of the words that are replaced and of the words that broken pieces may make); what
+passes a sieve by chance falls out in the join behind it.
 """
 
 from __future__ import annotations
@@ -17,22 +21,28 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.llm.boost import Booster
+from foliant.llm.names import ratio
 from foliant.session import cut
 
-#: A word is trusted from this share of all words (so there are at most 1 / TRUST_SHARE) and count.
-TRUST_SHARE, TRUST_COUNT = 2e-6, 3
-#: Trusted words used to train ranker and joiner, the most frequent; edge lines for the furniture.
-TRAIN_WORDS, TRAIN_LINES = 1_500, 6_000
+#: A word is trusted if it stands whole so often, at every size of the corpus, and no likelier word replaces it.
+TRUST_COUNT = 3
+#: Trusted words used to train ranker and joiner, and those they know, the most frequent; edge lines for the furniture.
+TRAIN_WORDS, KNOWN_WORDS, TRAIN_LINES = 1_500, 20_000, 6_000
 REPLACE, JOIN, FURNITURE = 0.5, 0.5, 0.5
 #: A candidate must be so many times as frequent as the word it replaces.
 RATIO = 5.0
 #: Different tokens a task holds before it passes its counts on; it changes memory, never a count.
 TALLY_TOKENS = 300_000
-EDGE = 2
+#: Furniture is looked for in so many lines at either end and on to the first of full width, that is, of so
+#: much of the page's median width.
+EDGE, FULL_WIDTH = 2, 0.7
+#: Bits of a sieve per word, and at most.
+SIEVE_BITS, SIEVE_MOST, SIEVE_PROBES = 12, 1 << 26, 4
 SEED = 11
 
 # Shapes that scanners take for each other, in both directions.
@@ -51,7 +61,7 @@ _EDGES = r"^(?:[^\p{L}\p{N}@+!£]|£(?!\p{L}))+|(?:[^\p{L}\p{N}@+£]|(?<!\p{L})
 _PY_SPLIT = re.compile(r"[\s\-/¬‐­–—|]+")
 _PY_EDGES = re.compile(r"^(?:(?![@+!]|£[^\W\d_])[\W_])+|(?:(?![@+]|(?<=[^\W\d_])£)[\W_])+$")
 _NUMBER = re.compile(r"^[\W_]*(?:(?:page|pg|p|p[a-z]g[a-z])\b[\W_]*)?([0-9lIoOSsiBbZzqg|]{1,4})(?:[\W_]*(?:of|/)[\W_]*[0-9lIoOSsB]{1,4})?[\W_]*$", re.I)
-_PLAIN_NUMBER = re.compile(r"^[\d.,%:()]*$")
+_HAS_DIGIT = re.compile(r"\d")
 _MIXED_OK = re.compile(r"^(?:q[1-4]|h[12]|fy\d+|\d+(?:st|nd|rd|th)|iso\d*|[a-z]\d{1,2}|\d+[a-z])$")
 
 
@@ -81,26 +91,33 @@ def difference(a: str, b: str) -> tuple[str, str, int, int]:
 
 
 def _shape_steps(a: str, b: str) -> tuple[int, int]:
-    """(changes that confused shapes explain, other changes) between two differing middles."""
-    if a == b:
-        return 0, 0
-    if (b, a) in _SHAPES:
-        return 1, 0
-    best = (0, max(len(a), len(b)))
-    for x in (1, 2):
-        for y in (1, 2):
-            if len(a) >= x and len(b) >= y and ((b[:y], a[:x]) in _SHAPES or a[:x] == b[:y]):
-                s, o = _shape_steps(a[x:], b[y:])
-                s += a[:x] != b[:y]
-                if (o, s) < (best[1], best[0]):
-                    best = (s, o)
-    return best
+    """(changes that confused shapes explain, other changes) between two differing middles.
+
+    The cheapest way to the end from every pair of places, fewest other changes first; pieces of one
+    or two letters are equal, a confused shape, or all that is left of both, letter by letter.
+    """
+    n, m = len(a), len(b)
+    best = [[(0, 0)] * (m + 1) for _ in range(n + 1)]  # (other, shapes) from place i in a and j in b on
+    for i in range(n, -1, -1):
+        for j in range(m, -1, -1):
+            if i == n and j == m:
+                continue
+            least = (0, 1) if (b[j:], a[i:]) in _SHAPES else (max(n - i, m - j), 0)
+            for x in (1, 2):
+                for y in (1, 2):
+                    if i + x <= n and j + y <= m:
+                        p, q = a[i : i + x], b[j : j + y]
+                        if p == q or (q, p) in _SHAPES:
+                            other, shapes = best[i + x][j + y]
+                            least = min(least, (other, shapes + (p != q)))
+            best[i][j] = least
+    return best[0][0][1], best[0][0][0]
 
 
 def pair_features(word: str, count: int, other: str, other_count: int, shared: int) -> list[float]:
     """Of a word and the trusted word that may be meant."""
     a, b, i, j = difference(word, other)
-    shape, rest = _shape_steps(a[:8], b[:8])
+    shape, rest = _shape_steps(a, b)
     ending = float(j == 0 and (a in _ENDINGS or a == "") and (b in _ENDINGS or b == ""))
     odd = sum(not ch.isalpha() for ch in word)
     return [
@@ -193,29 +210,62 @@ def word_counts(texts: list[DataFrame]) -> DataFrame:
     )
 
 
-def trusted_words(counts: DataFrame) -> dict[str, int]:
-    """Frequent words of Latin letters; at most 1 / TRUST_SHARE of them."""
-    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
-    least = max(TRUST_COUNT, TRUST_SHARE * total)
-    rows = counts.filter((F.col("n_whole") >= least) & F.col("word").rlike(r"^[a-z][a-z'’.]*$")).collect()
-    return {r["word"]: r["n"] for r in rows}
+def lexicon_of(counts: DataFrame) -> DataFrame:
+    """(word, n) of the words of Latin letters that stand whole often enough."""
+    return counts.filter((F.col("n_whole") >= TRUST_COUNT) & F.col("word").rlike(r"^[a-z][a-z'’.]*$")).select("word", "n")
+
+
+def best_known(lexicon: DataFrame) -> dict[str, int]:
+    """The KNOWN_WORDS most frequent words of a lexicon."""
+    return {r["word"]: r["n"] for r in lexicon.orderBy(F.desc("n"), "word").limit(KNOWN_WORDS).collect()}
+
+
+class Sieve:
+    """A set of words that may say yes to others, but never no to its own."""
+
+    def __init__(self, bits: np.ndarray) -> None:
+        self.bits = bits
+        self.mask = len(bits) * 64 - 1
+
+    def __contains__(self, word: str) -> bool:
+        h = xxhash.xxh64_intdigest(word.encode(), seed=42)
+        step = (h >> 32) | 1
+        for k in range(SIEVE_PROBES):
+            at = ((h & 0xFFFFFFFF) + k * step) & self.mask
+            if not int(self.bits[at >> 6]) >> (at & 63) & 1:
+                return False
+        return True
+
+
+def sieve(words: DataFrame) -> Sieve:
+    """Of the column ``word``; built where the words are, at most SIEVE_MOST bits reach the driver."""
+    size = 64
+    while size < min(SIEVE_MOST, SIEVE_BITS * words.count()):
+        size *= 2
+    h = F.xxhash64("word")
+    step = F.shiftrightunsigned(h, 32).bitwiseOR(F.lit(1))
+    place = F.explode(F.array(*[(h.bitwiseAND(F.lit(0xFFFFFFFF)) + step * k).bitwiseAND(F.lit(size - 1)) for k in range(SIEVE_PROBES)]))
+    bit = F.expr("shiftleft(1L, cast(at & 63 AS int))")
+    rows = words.select(place.alias("at")).groupBy(F.shiftright("at", 6).alias("k")).agg(F.bit_or(bit).alias("bits")).collect()
+    bits = np.zeros(size // 64, np.uint64)
+    for r in rows:
+        bits[r["k"]] = r["bits"] & 0xFFFFFFFFFFFFFFFF
+    return Sieve(bits)
 
 
-def corrections(counts: DataFrame, trusted: dict[str, int], ranker: Booster) -> DataFrame:
+def corrections(counts: DataFrame, lexicon: DataFrame, ranker: Booster) -> DataFrame:
     """(word, replacement, probability) of the words that are misread; found for every word of the corpus.
 
     The inverted join is by trigram and length, the trusted side within one letter; trusted words
-    are candidates and may be replaced themselves by much more frequent ones. Left out are words without
-    a Latin letter and words with letters of another script.
+    are candidates and may be replaced themselves by much more frequent ones, then by what replaces
+    their own replacement. Left out are words without a Latin letter and words with letters of another script.
     """
-    spark = counts.sparkSession
-    shared = spark.sparkContext.broadcast(ranker)
-    rows = [(w, n) for w, n in trusted.items() if n >= RATIO]
-    lexicon = spark.createDataFrame(rows or [("", 0)], "other string, other_n long").filter("other <> ''")
+    shared = counts.sparkSession.sparkContext.broadcast(ranker)
     gram = lambda c: F.explode(F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.length(c) + 2), lambda i: F.substring(F.concat(F.lit("##"), c, F.lit("##")), i, F.lit(3)))))
     words = counts.filter(F.col("word").rlike(r"\p{IsLatin}") & ~F.col("word").rlike(r"[\p{L}&&[^\p{IsLatin}]]") & (F.length("word") > 1))
-    index = lexicon.select("other", "other_n", F.length("other").alias("size"), gram(F.col("other")).alias("g"))
+    others = lexicon.filter(F.col("n") >= RATIO).select(F.col("word").alias("other"), F.col("n").alias("other_n"))
+    index = others.select("other", "other_n", F.length("other").alias("size"), gram(F.col("other")).alias("g"))
     probe = words.select("word", "n", gram(F.col("word")).alias("g"))
     probe = probe.select("word", "n", "g", F.explode(F.array(*[F.length("word") + k for k in (-1, 0, 1)])).alias("size"))
     pairs = (
@@ -233,12 +283,14 @@ def corrections(counts: DataFrame, trusted: dict[str, int], ranker: Booster) ->
             yield pd.Series(shared.value.probability(x))
 
     scored = pairs.withColumn("probability", rank("word", "n", "other", "other_n", "shared"))
-    return (
+    best = cut(
         scored.filter(F.col("probability") >= REPLACE)
         .groupBy("word")
         .agg(F.max_by(F.struct("other", "probability"), F.struct("probability", "other_n", "other")).alias("b"))
         .select("word", F.col("b.other").alias("replacement"), F.col("b.probability").alias("probability"))
     )
+    again = best.select(F.col("word").alias("replacement"), F.col("replacement").alias("further"))
+    return best.join(again, "replacement", "left").select("word", F.coalesce("further", "replacement").alias("replacement"), "probability")
 
 
 # ---------------------------------------------------------------- lines
@@ -260,7 +312,11 @@ def furniture_form(line: str) -> str:
 
 
 def edge_lines(pages: DataFrame) -> DataFrame:
-    """The first and last EDGE lines that are not blank of each page, with their form and number."""
+    """The lines at either end of each page that may be furniture, with their form and number.
+
+    They are the first and last EDGE lines that are not blank, and the lines after them up to the
+    first of full width, where the body has begun.
+    """
 
     @F.pandas_udf(
         "array<struct<line_no int, top int, bottom int, line string, form string, number int, native boolean, inner boolean>>"
@@ -269,14 +325,19 @@ def edge_lines(pages: DataFrame) -> DataFrame:
         out = []
         for text, engine in zip(texts, engines):
             rows = [(k, x) for k, x in enumerate((text or "").split("\n")) if x.strip()]
-            n, take = len(rows), []
-            for p, (k, x) in enumerate(rows):
-                if p < EDGE or n - 1 - p < EDGE:
-                    take.append(
-                        {"line_no": k, "top": p, "bottom": n - 1 - p, "line": x, "form": furniture_form(x),
-                         "number": page_number(x), "native": engine == "native", "inner": False}
-                    )
-            out.append(take)
+            widths = [len(x.strip()) for _, x in rows]
+            full = FULL_WIDTH * float(np.median(widths)) if rows else 0.0
+            n, take = len(rows), set()
+            for order in (range(n), range(n - 1, -1, -1)):
+                for at, p in enumerate(order):
+                    take.add(p)
+                    if at >= EDGE - 1 and widths[p] >= full:
+                        break
+            out.append(
+                [{"line_no": k, "top": p, "bottom": n - 1 - p, "line": x, "form": furniture_form(x),
+                  "number": page_number(x), "native": engine == "native", "inner": False}
+                 for p, (k, x) in enumerate(rows) if p in take]
+            )
         return pd.Series(out)
 
     return pages.select("document_id", "page_no", F.explode(edges("text", "engine")).alias("e")).select(
@@ -287,22 +348,33 @@ def edge_lines(pages: DataFrame) -> DataFrame:
 def edge_evidence(edges: DataFrame) -> DataFrame:
     """Edge lines with what the other pages of the report, and other reports, say about them.
 
-    Forms that repeat on less than a tenth of the pages are no evidence, so a report passes on at
-    most 40 forms whatever its length.
+    ``like`` is the ratio of a form to the most similar one that stands on several pages of the
+    report; only different forms of nearly the same length are compared, once each.
     """
+    edges = edges.withColumn("form", F.nullif("form", F.lit("")))
     pages = edges.groupBy("document_id").agg(F.count_distinct("page_no").alias("n_pages"))
-    form = (
-        edges.filter("form <> ''")
+    form = cut(
+        edges.filter("form is not null")
         .groupBy("document_id", "form")
         .agg(
             F.count_distinct("page_no").alias("form_pages"),
             F.count_distinct(F.pmod("page_no", F.lit(2))).alias("sides"),
             F.count_distinct(F.least("top", F.lit(EDGE))).alias("places"),
         )
-        .join(pages, "document_id")
     )
-    often = form.filter((F.col("form_pages") >= 2) & (F.col("form_pages") * 10 >= F.col("n_pages")))
-    top = often.groupBy("document_id").agg(F.collect_list("form").alias("forms"))
+
+    @F.pandas_udf("double")
+    def resembles(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([ratio(x, y) for x, y in zip(a, b)], dtype="float64")
+
+    often = form.filter("form_pages >= 2").select("document_id", F.col("form").alias("known"), F.length("form").alias("size"))
+    once = form.filter("form_pages < 2 and length(form) > 3").select(
+        "document_id", "form", F.explode(F.sequence(F.length("form") - 3, F.length("form") + 3)).alias("size")
+    )
+    near = once.join(often, ["document_id", "size"]).withColumn("like", resembles("form", "known"))
+    near = near.groupBy("document_id", "form").agg(F.max("like").alias("like"))
+    own = F.when((F.col("form_pages") >= 2) & (F.length("form") > 3), 1.0).otherwise(F.coalesce("like", F.lit(0.0)))
+    form = form.join(near, ["document_id", "form"], "left").withColumn("like", own)
     corpus = form.groupBy("form").agg(
         F.count("*").alias("form_docs"), F.count_if((F.col("form_pages") >= 2)).alias("form_repeats")
     )
@@ -314,36 +386,29 @@ def edge_evidence(edges: DataFrame) -> DataFrame:
     return (
         edges.withColumn("step", F.col("number") - F.col("page_no"))
         .join(pages, "document_id")
-        .join(form.drop("n_pages"), ["document_id", "form"], "left")
+        .join(form, ["document_id", "form"], "left")
         .join(step, ["document_id", "step"], "left")
         .join(corpus, "form", "left")
-        .join(top, "document_id", "left")
     )
 
 
 def line_features(r) -> list[float]:
     """Of an edge line with its evidence; a row or a named tuple."""
-    line, form = r.line.strip(), r.form
+    line = r.line.strip()
     n = max(1, r.n_pages)
-    like = 0.0
-    forms = list(r.forms) if r.forms is not None else []
-    if form and len(form) > 3:
-        from foliant.llm.names import ratio
-
-        like = max((ratio(form, f) for f in forms if abs(len(f) - len(form)) <= 3), default=0.0)
     letters = sum(ch.isalpha() for ch in line)
     digits = sum(ch.isdigit() for ch in line)
     words = line.split()
     none = lambda v: 0.0 if v is None or v != v else float(v)
     return [
         float(r.top), float(r.bottom), none(r.form_pages) / n, none(r.form_pages), none(r.step_pages) / n, none(r.step_pages),
-        float(n), np.log1p(none(r.form_docs)), none(r.form_repeats) / max(1.0, none(r.form_docs)), like,
+        float(n), np.log1p(none(r.form_docs)), none(r.form_repeats) / max(1.0, none(r.form_docs)), none(r.like),
         sum(ch.isupper() for ch in line) / max(1, letters), letters / max(1, len(line)), digits / max(1, len(line)),
         float(len(words)), float(line.endswith((".", ",", ";"))), sum(w[:1].isupper() for w in words) / max(1, len(words)),
         float(r.number is not None and r.number == r.number), float("," in line or "%" in line), float(len(line)),
         float(bool(re.search(r"^\d+\s|\s\d+$", line))), float(sum(any(c.isdigit() for c in w) for w in words)),
         float(none(r.form_pages) >= 2 and r.sides == 1), float(none(r.form_pages) >= 2 and r.places == 1),
-        float(bool(re.search(r"\b(?:limited|ltd)\b", line, re.I))),
+        float(any(w in ("limited", "ltd") or len(w) >= 6 and ratio(w, "limited") >= 0.85 for w in re.findall(r"\w+", line.lower()))),
     ]
 
 
@@ -364,6 +429,10 @@ def train_furniture(evidence: DataFrame) -> tuple[Booster, Booster]:
             weak[2:4], weak[-3:-1] = [1.0 / n, 1.0], [0.0, 0.0]  # the same line, were it not on other pages
             if x[8] > 0.7:
                 hx.append(weak), hy.append(1)
+            if r["form"]:  # one letter of it misread, which no other page and report shows
+                once = list(weak)
+                once[7:10] = [float(np.log1p(1)), 0.0, 1 - 1 / len(r["form"])]
+                hx.append(once), hy.append(1)
             if x[-1]:  # nor in any other report
                 alone = list(weak)
                 alone[2:4], alone[6], alone[7:10] = [1.0, 1.0], 1.0, [float(np.log1p(1)), 0.0, 0.0]
@@ -377,7 +446,7 @@ def train_furniture(evidence: DataFrame) -> tuple[Booster, Booster]:
             nx.append(weak), ny.append(1)
         elif r["native"] or r["number"] is None:
             nx.append(x), ny.append(0)
-    empty = np.zeros((0, 24))
+    empty = np.zeros((0, 23))
     return (
         Booster().fit(np.array(hx) if hx else empty, np.array(hy)),
         Booster().fit(np.array(nx) if nx else empty, np.array(ny)),
@@ -393,7 +462,7 @@ def furniture(pages: DataFrame) -> DataFrame:
         header, number = models.value
         for b in batches:
             rows = list(b.itertuples())
-            x = np.array([line_features(r) for r in rows]) if rows else np.zeros((0, 24))
+            x = np.array([line_features(r) for r in rows]) if rows else np.zeros((0, 23))
             h, p = header.probability(x), number.probability(x)
             lone = np.array([r.number is not None and r.number == r.number for r in rows], bool)
             noise = np.where(lone & (p >= FURNITURE), "page_number", np.where(~lone & (h >= FURNITURE), "header", ""))
@@ -401,7 +470,7 @@ def furniture(pages: DataFrame) -> DataFrame:
 
     use = evidence.select(
         "document_id", "page_no", "line_no", "line", "form", "top", "bottom", "n_pages", "form_pages", "step_pages",
-        "form_docs", "form_repeats", "forms", "number", "sides", "places",
+        "form_docs", "form_repeats", "like", "number", "sides", "places",
     )
     return use.mapInPandas(judge, "document_id string, page_no int, line_no int, noise string").filter("noise <> ''")
 
@@ -458,19 +527,19 @@ def unsigned(line: str) -> str:
 
 
 class Reader:
-    """Lines, joins and doubtful words of one page."""
+    """Seams, and the words that are to be replaced, of one page; ``sought`` and ``whole`` are sieves."""
 
-    def __init__(self, trusted: dict[str, int], clean: set[str], joiner: Booster) -> None:
-        self.trusted, self.clean, self.joiner = trusted, clean, joiner
-        self.memo: dict[tuple[str, str, str], bool] = {}
-        self.words: dict[str, str] = {}
+    def __init__(self, sought: Sieve, whole: Sieve) -> None:
+        self.sought, self.whole = sought, whole
+        self.words: dict[str, tuple[tuple[str, str | None], ...]] = {}
 
-    def doubtful(self, raw: str) -> tuple[str, ...]:
-        """The words of a token that are neither known nor numbers."""
+    def wrong(self, raw: str) -> tuple[tuple[str, str | None], ...]:
+        """(word, number it stands for or null) of the words of a token that may be misread."""
         known = self.words.get(raw)
         if known is None:
             parts = (clean_word(w) for w in _PY_SPLIT.split(raw))
-            known = tuple(w for w in parts if w and w not in self.clean and not _PLAIN_NUMBER.match(w))
+            told = ((w, numeric_reading(w) if _HAS_DIGIT.search(w) else None) for w in parts if w)
+            known = tuple((w, n) for w, n in told if n is not None or w in self.sought)
             if len(self.words) > 200_000:
                 self.words.clear()
             self.words[raw] = known
@@ -479,8 +548,7 @@ class Reader:
     def seam(self, line: str, following: str) -> tuple[str, str, str] | None:
         """(piece before, piece after, sign) where a line ends in a hyphen after a letter or digit.
 
-        The sign is empty where it is lost: line end and beginning make a trusted word that is more
-        frequent than one of them.
+        The sign is empty where it is lost: line end and beginning may make a trusted word.
         """
         line, following = line.rstrip(), following.lstrip()
         if not line or not following:
@@ -488,51 +556,32 @@ class Reader:
         if line[-1].isalpha() and following[0].islower():
             left, right = _PY_SPLIT.split(line.rsplit(None, 1)[-1])[-1], _PY_SPLIT.split(following.split(None, 1)[0])[0]
             a, b = clean_word(left), clean_word(right)
-            n = self.trusted.get(a + b, 0)
-            return (left, right, "") if a and b and n > min(self.trusted.get(a, 0), self.trusted.get(b, 0)) else None
+            return (left, right, "") if a and b and a + b in self.whole else None
         if len(line) < 2 or line[-1] not in HYPHENS or not line[-2].isalnum():
             return None
         return _PY_SPLIT.split(line[:-1])[-1], _PY_SPLIT.split(following.strip())[0], line[-1]
 
-    def prepare(self, pages: list[tuple[str | None, set[int]]]) -> None:
-        """Decides all seams of some pages at once."""
-        new = set()
-        for text, skip in pages:
-            if text:
-                body = [x for k, x in enumerate(text.split("\n")) if x.strip() and k not in skip]
-                new |= {s for a, b in zip(body, body[1:]) if (s := self.seam(a, b)) and s not in self.memo}
-        if len(self.memo) > 200_000:
-            self.memo.clear()
-        order = sorted(new)
-        if order:
-            p = self.joiner.probability(np.array([join_features(a, b, m, 0, self.trusted) for a, b, m in order]))
-            self.memo.update(zip(order, (p >= JOIN).tolist()))
-
-    def joins(self, line: str, following: str) -> bool:
-        """Whether the line's last word goes on in the following line."""
-        s = self.seam(line, following)
-        if s is not None and s not in self.memo:
-            self.memo[s] = bool(self.joiner.probability(np.array([join_features(*s, 0, self.trusted)]))[0] >= JOIN)
-        return s is not None and self.memo[s]
-
-    def page(self, text: str | None, skip: set[int]) -> tuple[list[int], list[tuple[int, int, int, str]]]:
-        """(lines that go on, [(line, line of the word's end, length of its beginning, word)] of doubtful words)."""
-        lines = (text or "").split("\n")
+    def seams(self, text: str, skip: set[int]) -> list[tuple[int, str, str, str]]:
+        """(line, piece before, piece after, sign) of all places where a word may go on in the next line."""
+        lines = text.split("\n")
         body = [k for k, x in enumerate(lines) if x.strip() and k not in skip]
-        going, words = [], []
+        found = ((k, self.seam(lines[k], lines[after])) for k, after in zip(body, body[1:]))
+        return [(k, *s) for k, s in found if s is not None]
+
+    def page(self, text: str, skip: set[int], going: set[int]) -> list[tuple[int, int, int, str, str | None]]:
+        """(line, line of the word's end, length of its beginning, word, number) of the words that may be misread."""
+        lines = text.split("\n")
+        body = [k for k, x in enumerate(lines) if x.strip() and k not in skip]
+        words = []
         carried: tuple[int, str] | None = None
-        for at, k in enumerate(body):
+        for k in body:
             line = lines[k].strip()
-            after = lines[body[at + 1]] if at + 1 < len(body) else ""
-            joins = self.joins(line, after)
-            if joins:
-                going.append(k)
-                line = unsigned(line)
-            parts = line.split()
+            joins = k in going
+            parts = (unsigned(line) if joins else line).split()
             if carried and parts:
                 j, head = carried
                 first, *rest = [w for w in _PY_SPLIT.split(parts[0]) if w] or [""]
-                words += [(j, k, len(head), w) for w in self.doubtful(head + first)]
+                words += [(j, k, len(head), w, n) for w, n in self.wrong(head + first)]
                 parts[0:1] = rest
             carried = None
             if joins and parts:
@@ -542,10 +591,57 @@ class Reader:
             for raw in parts:
                 found = self.words.get(raw)
                 if found is None:
-                    found = self.doubtful(raw)
+                    found = self.wrong(raw)
                 if found:
-                    words += [(k, k, 0, w) for w in found]
-        return going, words
+                    words += [(k, k, 0, w, n) for w, n in found]
+        return words
+
+
+def joined_lines(full: DataFrame, reader_of, good: DataFrame, joiner: Booster) -> DataFrame:
+    """(document_id, page_no, line_no) of lines whose last word goes on in the next line.
+
+    Different seams are judged once each, with the counts of pieces and whole from the lexicon ``good``.
+    """
+    shared = full.sparkSession.sparkContext.broadcast(joiner)
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = reader_of()
+        for b in batches:
+            rows = [
+                (d, p, k, a, z, m, clean_word(a), clean_word(z))
+                for d, p, text, skip in zip(b["document_id"], b["page_no"], b["text"], b["skip"])
+                for k, a, z, m in reader.seams(text, set(skip) if skip is not None else set())
+            ]
+            yield pd.DataFrame(rows, columns=["document_id", "page_no", "line_no", "before", "after", "mark", "a", "b"])
+
+    seen = cut(
+        full.mapInPandas(
+            scan, "document_id string, page_no int, line_no int, before string, after string, mark string, a string, b string"
+        )
+    )
+    piece = ["before", "after", "mark"]
+    known = lambda c, n: good.select(F.col("word").alias(c), F.col("n").alias(n))
+    told = (
+        seen.select(*piece, "a", "b", F.concat("a", "b").alias("ab"))
+        .distinct()
+        .join(known("ab", "n_ab"), "ab", "left")
+        .join(known("a", "n_a"), "a", "left")
+        .join(known("b", "n_b"), "b", "left")
+        .fillna(0, ["n_ab", "n_a", "n_b"])
+    )
+
+    @F.pandas_udf("double")
+    def judge(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for before, after, mark, n_a, n_b, n_ab in parts:
+            x = [
+                join_features(p, q, m, 0, {clean_word(p): u, clean_word(q): v, clean_word(p) + clean_word(q): w})
+                for p, q, m, u, v, w in zip(before, after, mark, n_a, n_b, n_ab)
+            ]
+            yield pd.Series(shared.value.probability(np.array(x)), dtype="float64")
+
+    lost = (F.col("mark") == "") & (F.col("n_ab") <= F.least("n_a", "n_b"))
+    joined = told.filter(~lost).withColumn("p", judge(*piece, "n_a", "n_b", "n_ab")).filter(F.col("p") >= JOIN).select(*piece)
+    return seen.join(joined, piece, "left_semi").select("document_id", "page_no", "line_no")
 
 
 def numeric_reading(word: str) -> str | None:
@@ -563,8 +659,8 @@ def analyse(pages: DataFrame, reference: list[DataFrame] | None = None) -> tuple
 
     ``pages`` has document_id, page_no, text, engine; ``reference`` tables with a column ``text``
     add to the word statistics only. Repeated rows count once; null and empty texts have no noise.
-    Every word and line of every page is judged. A misread word over two lines belongs to the line
-    that holds the wrong letters. Broadcast are the trusted words (at most 1 / TRUST_SHARE).
+    Every word of every page is judged, and every line at its ends (``edge_lines``). A misread word
+    over two lines belongs to the line that holds the wrong letters. Broadcast are models and sieves.
     """
     spark = pages.sparkSession
     own = cut(
@@ -573,50 +669,42 @@ def analyse(pages: DataFrame, reference: list[DataFrame] | None = None) -> tuple
         .agg(F.max("engine").alias("engine"))
     )
     counts = cut(word_counts([own.select("text"), *[t.select("text") for t in reference or []]]))
-    trusted = trusted_words(counts)
-    fixes = cut(corrections(counts, trusted, train_ranker(trusted)))
-    wrong = {r["word"] for r in fixes.join(F.broadcast(spark.createDataFrame([(w,) for w in trusted] or [("",)], "word string")), "word", "left_semi").collect()}
-    kept = {w: n for w, n in trusted.items() if w not in wrong}
-    shared = spark.sparkContext.broadcast((kept, train_joiner(kept)))
+    lexicon = lexicon_of(counts)
+    fixes = cut(corrections(counts, lexicon, train_ranker(best_known(lexicon))))
+    good = cut(lexicon.join(fixes, "word", "left_anti"))
+    sieves = spark.sparkContext.broadcast((sieve(fixes), sieve(good)))
     marks = cut(furniture(own))
     skips = marks.groupBy("document_id", "page_no").agg(F.collect_set("line_no").alias("skip"))
-    full = own.join(skips, ["document_id", "page_no"], "left").select("document_id", "page_no", "text", "skip")
+    page = ["document_id", "page_no"]
+    full = own.join(skips, page, "left").select(*page, "text", "skip")
+    going = cut(joined_lines(full, lambda: Reader(*sieves.value), good, train_joiner(best_known(good))))
+    full = full.join(going.groupBy(*page).agg(F.collect_set("line_no").alias("going")), page, "left")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, joiner = shared.value
-        reader = Reader(words, set(words), joiner)
+        reader = Reader(*sieves.value)
+        lines = lambda x: set(x) if x is not None else set()
         for b in batches:
-            rows = []
-            skips = [set(x) if x is not None else set() for x in b["skip"]]
-            reader.prepare(list(zip(b["text"], skips)))
-            for d, p, text, skip in zip(b["document_id"], b["page_no"], b["text"], skips):
-                going, doubtful = reader.page(text, skip)
-                rows += [(d, p, k, k, 0, "", "hyphen") for k in going]
-                rows += [(d, p, k, j, n, w, "") for k, j, n, w in doubtful]
-            yield pd.DataFrame(rows, columns=["document_id", "page_no", "line_no", "end_line", "head", "word", "noise"])
+            rows = [
+                (d, p, *w)
+                for d, p, text, skip, goes in zip(b["document_id"], b["page_no"], b["text"], b["skip"], b["going"])
+                for w in reader.page(text, lines(skip), lines(goes))
+            ]
+            yield pd.DataFrame(rows, columns=[*page, "line_no", "end_line", "head", "word", "number"])
 
-    seen = cut(
-        full.mapInPandas(
-            read, "document_id string, page_no int, line_no int, end_line int, head int, word string, noise string"
-        )
-    )
-    @F.pandas_udf("string")
-    def numeric(word: pd.Series) -> pd.Series:
-        return pd.Series([numeric_reading(w) for w in word], dtype=object)
-
-    doubtful = seen.filter("noise = ''").drop("noise").join(fixes.select("word", "replacement"), "word", "left")
-    doubtful = doubtful.withColumn(
-        "replacement",
-        F.coalesce("replacement", F.when(F.col("word").rlike("[0-9]") & F.col("word").rlike("[a-z]"), numeric("word"))),
-    ).filter("replacement is not null")
+    seen = full.mapInPandas(read, "document_id string, page_no int, line_no int, end_line int, head int, word string, number string")
+    found = seen.join(fixes.select("word", "replacement"), "word", "left")
+    found = found.withColumn("replacement", F.coalesce("replacement", "number")).filter("replacement is not null")
     in_head = F.substring("word", F.lit(1), F.col("head")) != F.substring("replacement", F.lit(1), F.col("head"))
-    words = doubtful.withColumn("line_no", F.when((F.col("head") == 0) | in_head, F.col("line_no")).otherwise(F.col("end_line")))
+    words = cut(
+        found.withColumn("line_no", F.when((F.col("head") == 0) | in_head, F.col("line_no")).otherwise(F.col("end_line")))
+        .select(*page, "line_no", "word", "replacement")
+    )
     lines = (
-        marks.unionByName(seen.filter("noise = 'hyphen'").select("document_id", "page_no", "line_no", "noise"))
-        .unionByName(words.select("document_id", "page_no", "line_no", F.lit("misread").alias("noise")))
+        marks.unionByName(going.withColumn("noise", F.lit("hyphen")))
+        .unionByName(words.select(*page, "line_no", F.lit("misread").alias("noise")))
         .distinct()
     )
-    return lines, words.select("document_id", "page_no", "line_no", "word", "replacement")
+    return lines, words
 
 
 def repaired(text: str, drop: set[int], going: set[int], fixes: dict[str, str], width: int | None = None) -> str:

@@ -407,6 +407,37 @@ def test_misread_outside_ascii(spark):
     assert [ocr.clean_word(w) for w in ("£500", "(roo£top),", "£rom", "£.")] == ["500", "roo£top", "£rom", ""]
 
 
+def test_shape_steps_read_whole_words():
+    assert ocr._shape_steps("abcdefghiclx", "abcdefghidx") == (1, 0)
+    assert ocr._shape_steps("rn", "m") == (1, 0) and ocr._shape_steps("", "") == (0, 0) and ocr._shape_steps("xyz", "") == (0, 3)
+    assert ocr._shape_steps("l1stof", "iistot") == (3, 0)
+
+
+def test_sieve_never_denies_its_own(spark):
+    words = [f"word{k}" for k in range(2000)] + ["कंपनी", "£rom"]
+    s = ocr.sieve(spark.createDataFrame([(w,) for w in words], "word string"))
+    assert all(w in s for w in words)
+    assert sum(f"other{k}" in s for k in range(2000)) < 60
+    assert "x" not in ocr.sieve(spark.createDataFrame([], "word string"))
+
+
+def test_headers_of_three_lines_and_misread_ones(spark):
+    """A header may be deeper than two lines, and one of its letters misread on one page."""
+    rng = random.Random(2)
+    word = ["quarterly", "forecasts", "insurance", "cover", "warehouse", "automation", "boiler", "efficiency", "receivables", "members"]
+    rows = []
+    for d in range(40):
+        head = [f"{'ABCDEFGH'[d % 8]}lpha Foods Limited", "Annual Report", f"Review of {'North South East West'.split()[d % 4]}"]
+        for p in range(6):
+            body = [" ".join(rng.choice(word) for _ in range(9)).capitalize() + "." for _ in range(10)]
+            top = [x.replace("Foods", "Foocls") if d == 5 and p == 3 else x for x in head]
+            rows.append((f"D{d:02}", p, "\n".join([*top, *body] if d % 4 else body), "tesseract" if d % 4 else "native"))
+    df = spark.createDataFrame(rows, "document_id string, page_no int, text string, engine string")
+    got = {(r.document_id, r.page_no, r.line_no) for r in ocr.analyse(df)[0].filter("noise = 'header'").collect()}
+    want = {(d, p, k) for d, p, _, e in rows if e == "tesseract" for k in range(3)}
+    assert got == want
+
+
 def test_blocks_repaired():
     text = "Alpha Limited\n\nThe cornmittee reviewed fore-\ncasts of boiler effi\n\nciency this year.\nPage 3"
     blocks = [{"y0": float(k), "text": x} for k, x in enumerate(("Page 3", "Alpha Limited", "The cornmittee reviewed fore-\ncasts of boiler effi", "ciency this year.", None, "lost cornmittee"))]
