@@ -37,7 +37,7 @@ FOLDS, CLEANINGS, KEEP = 3, 2, 0.5
 MEMO_WORDS = 300_000
 
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
-_LETTER = regex.compile(r"\p{L}")
+_NO_LETTER = regex.compile(r"\P{L}+")
 _LINE = regex.compile(r"\r?\n")
 
 
@@ -187,41 +187,73 @@ def training_lines(df: DataFrame, text_col: str = "text", label: Column | None =
 
 
 class Judge:
-    """Languages of lines and texts under a model."""
+    """Languages of lines and texts under a model; each word is scored once."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.memo: dict[str, tuple[np.ndarray, int]] = {}
+        self.place: dict[str, int] = {}
+        self.known = np.zeros((1024, len(LANGUAGES) + 1))
+
+    def _places(self, line: str) -> list[int]:
+        """Rows of the words of a line in the table of known words."""
+        words = _WORD.findall(line.lower())
+        out = [self.place.get(w, -1) for w in words]
+        if -1 in out:
+            for k, w in enumerate(words):
+                if out[k] < 0:
+                    at = self.place.get(w, -1)
+                    if at < 0:
+                        at = self.place[w] = len(self.place)
+                        if at == len(self.known):
+                            self.known = np.concatenate([self.known, np.zeros_like(self.known)])
+                        f = subwords(w)
+                        self.known[at, :-1], self.known[at, -1] = self.model.scores[f].sum(axis=0, dtype=np.float64), len(f)
+                    out[k] = at
+        return out
+
+    def lines(self, lines: list[str]) -> list[np.ndarray | None]:
+        """The probabilities of the languages of each line; null without letters."""
+        if len(self.place) >= MEMO_WORDS:
+            self.place.clear()
+        rows = [self._places(x) for x in lines]
+        full = [k for k, r in enumerate(rows) if r]
+        out: list[np.ndarray | None] = [None] * len(lines)
+        if full:
+            sizes = np.array([len(rows[k]) for k in full])
+            flat = np.fromiter((i for k in full for i in rows[k]), np.int64, int(sizes.sum()))
+            total = np.add.reduceat(self.known[flat], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
+            p = _softmax((total[:, :-1] / total[:, -1:] + self.model.bias) / self.model.temperature)
+            for k, x in zip(full, p):
+                out[k] = x
+        return out
 
     def line(self, line: str) -> np.ndarray | None:
         """The probability of each language; null without letters."""
-        total, n = np.zeros(len(LANGUAGES)), 0
-        for w in _WORD.findall(line.lower()):
-            known = self.memo.get(w)
-            if known is None:
-                f = subwords(w)
-                known = self.model.scores[f].sum(axis=0, dtype=np.float64), len(f)
-                if len(self.memo) >= MEMO_WORDS:
-                    self.memo.clear()
-                self.memo[w] = known
-            total, n = total + known[0], n + known[1]
-        return _softmax((total / n + self.model.bias) / self.model.temperature) if n else None
+        return self.lines([line])[0]
+
+    def texts(self, texts: list[str | None]) -> list[tuple[int, float, list[tuple[int, float, int, bool]]]]:
+        """``text`` of many texts at once."""
+        own = [lines_of(t) for t in texts]
+        told = iter(self.lines([x for lines in own for x in lines]))
+        return [self._decide([(next(told), len(_NO_LETTER.sub("", x))) for x in lines]) for lines in own]
 
     def text(self, text: str | None) -> tuple[int, float, list[tuple[int, float, int, bool]]]:
         """(language, confidence, [(language, confidence, letters, rejected) of each line]); -1 without letters."""
-        rows = [(self.line(x), len(_LETTER.findall(x))) for x in lines_of(text)]
+        return self.texts([text])[0]
+
+    def _decide(self, rows: list[tuple[np.ndarray | None, int]]) -> tuple[int, float, list[tuple[int, float, int, bool]]]:
         found = [(-1 if p is None else int(p.argmax()), 0.0 if p is None else float(p.max())) for p, _ in rows]
-        weight = np.zeros(len(LANGUAGES))
+        weight = [0] * len(LANGUAGES)
         for accepted_only in (True, False):
             for (lang, sure), (_, letters) in zip(found, rows):
                 if lang >= 0 and (sure >= self.model.accept or not accepted_only):
                     weight[lang] += letters
-            if weight.any():
+            if any(weight):
                 break
-        if not weight.any():
+        if not any(weight):
             return -1, 0.0, [(-1, 0.0, n, False) for _, n in rows]
-        follow = int(weight.argmax())
-        out, sums, trust = [], np.zeros(len(LANGUAGES)), np.zeros(len(LANGUAGES))
+        follow = weight.index(max(weight))
+        out, sums, trust = [], [0] * len(LANGUAGES), [0.0] * len(LANGUAGES)
         for (lang, sure), (p, letters) in zip(found, rows):
             rejected = lang >= 0 and sure < self.model.accept
             if rejected:
@@ -230,8 +262,8 @@ class Judge:
             if lang >= 0:
                 sums[lang] += letters
                 trust[lang] += letters * sure
-        main = int(sums.argmax())
-        whole = float(trust[main] / sums[main])
+        main = sums.index(max(sums))
+        whole = trust[main] / sums[main]
         return main, whole, [(main, whole, n, r) if lang < 0 else (lang, sure, n, r) for lang, sure, n, r in out]
 
 
@@ -256,8 +288,7 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         judge = Judge(shared.value)
         for batch in batches:
             rows = []
-            for key, text in zip(batch[id_col], batch[text_col]):
-                lang, sure, each = judge.text(text)
+            for key, (lang, sure, each) in zip(batch[id_col], judge.texts(batch[text_col].tolist())):
                 name = LANGUAGES[lang] if lang >= 0 else None
                 parts = [
                     {"line_no": k, "lang": LANGUAGES[x] if x >= 0 else None, "confidence": p, "n_letters": n, "rejected": r}
