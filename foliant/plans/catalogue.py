@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("coverage", "pages", "scoring", "entities")
+FAMILIES = ("coverage", "pages", "scoring", "entities", "sections")
 
 
 def never_null(sql: str) -> str:
