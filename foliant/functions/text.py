@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 WORD = r"[^ \t\n\r\f]+"
 DEVANAGARI = "[ऀ-ॿ]"
 INDIC = "[ऀ-ൿ]"
-MOJIBAKE = r"[\x{FFFD}\x00-\x08\x0B\x0C\x0E-\x1F]"
+#: How sentences end, how list items begin.
 SENTENCE_END = "[.!?][\"'”’)\\]]*\\s*$"
 LIST_MARKER = r"^\s*\(?([a-z]|[ivx]{2,3}|[0-9]{1,2})[.)]\s"
-NUMERIC_LINE = r"^[\s\d.,;:%()/+*\-]*\d[\s\d.,;:%()/+*\-]*$"
-PAGE_NUMBER = r"^\s*(?:page\s*)?\|?\s*\d{1,4}\s*\|?\s*$"
 #: Presentation forms and the letters they stand for.
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl"}
+#: Small words of headings, and words that end no paragraph.
+HEADING_SMALL = "a|an|and|or|the|of|to|in|on|for|at|by|is|as|with|from|into|over"
+TAIL_WORDS = "the|a|an|of|and|or|to|in|for|with|by|from|as|on|at|that|which|this"
 #: Words of legal form left out of names.
 NAME_STOP = "limited|ltd|private|pvt|public|company|co|corporation|corp|industries|india|the|and|incorporated|inc|plc"
 
@@ -30,11 +31,6 @@ def word_count(text: Column) -> Column:
     return hits(text, WORD)
 
 
-def ratio(a: Column, b: Column) -> Column:
-    """a / b, with 1 for a zero or negative b."""
-    return a / F.greatest(b, F.lit(1))
-
-
 def script(text: Column) -> Column:
     """latin, mixed, devanagari, other_indic or unknown, by shares of letters of each script."""
     dev, ind, latin = hits(text, DEVANAGARI), hits(text, INDIC), hits(text, "[A-Za-z]")
@@ -73,7 +69,7 @@ def heading_shape(line: Column) -> Column:
     s = F.trim(line)
     letters, upper = hits(s, "[A-Za-z]"), hits(s, "[A-Z]")
     lower_words = hits(s, r"(?:^|[^A-Za-z'])[a-z]")
-    small = hits(s, r"(?:^|[^A-Za-z'])(?:a|an|and|or|the|of|to|in|on|for|at|by|is|as|with|from|into|over)(?:[^A-Za-z']|$)")
+    small = hits(s, rf"(?:^|[^A-Za-z'])(?:{HEADING_SMALL})(?:[^A-Za-z']|$)")
     return (
         (F.length(s) > 0) & (F.length(s) <= 60) & ~s.rlike("[.!?:;,]$") & (word_count(s) <= 8) & (letters > 0)
         & ((upper >= letters * 0.7) | ((lower_words <= small) & s.rlike("^[A-Z]")))
@@ -104,9 +100,13 @@ def fiscal_year_end(first: Column, second: Column) -> Column:
     return F.when(full - y1 == 1, full)
 
 
+#: A query parameter whose name tells a secret.
+SECRET = r"(?i)([?&](?:[^=&#]*(?:token|auth|key|secret|sig|pass|cred|bearer|session)[^=&#]*|pwd)=)[^&#]*"
+
+
 def redact_url(url: Column) -> Column:
-    """A URL whose query values are hidden."""
-    return F.regexp_replace(url, r"([?&][^=&#]+=)[^&#]*", "$1REDACTED")
+    """A URL whose secret query values are hidden; scheme, host, path and other parameters stay."""
+    return F.regexp_replace(url, SECRET, "$1%5BREDACTED%5D")
 
 
 def iou(s1: Column, e1: Column, s2: Column, e2: Column) -> Column:

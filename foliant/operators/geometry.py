@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from foliant.session import ship
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,6 +57,7 @@ def order_blocks(pages: DataFrame, keys: list[str], blocks: str = "blocks") -> D
                 [None if b is None else reading_order([(x["x0"], x["y0"], x["x1"], x["y1"]) for x in b]) for b in s]
             )
 
+    ship(pages.sparkSession)
     boxes = F.transform(blocks, lambda b: F.struct(b["x0"].alias("x0"), b["y0"].alias("y0"), b["x1"].alias("x1"), b["y1"].alias("y1")))
     return pages.select(*keys, order(boxes).alias("order"))
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from foliant.functions import text as T
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_START, _NUMBER = "\ufdd0", "\ufdd1"
+
 
 def to_lines(df: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
     """(keys, line_no, line) of every line, split at \\n or \\r\\n; null texts have none."""
@@ -13,47 +15,76 @@ def to_lines(df: DataFrame, keys: list[str], text_col: str = "text") -> DataFram
     return df.filter(F.col(text_col).isNotNull()).select(*keys, lines)
 
 
-def paragraphs(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, para_no, first_line, paragraph): lines joined up to a blank line or a sentence's end.
+def paragraph_array(text: Column) -> Column:
+    """array<struct<first_line, paragraph>>: lines joined up to a blank line or a sentence's end, in the text's own row.
 
-    The lines of one text are ordered in one window; a text is the unit, so nothing larger is
-    gathered. A paragraph belongs to its first line.
+    Starts are marked with the number of their line by two signs that no text holds (non-characters
+    of Unicode), the lines run together and are cut at the marks: linear in the text, without a
+    shuffle. Null and blank texts have none.
     """
-    w = Window.partitionBy(*keys).orderBy("line_no")
-    line = F.trim(F.regexp_replace("line", r"[\s]+", " "))
-    marked = lines.withColumn("line", line).withColumn("blank", F.col("line") == "")
-    before = F.lag(F.col("blank") | F.col("line").rlike(T.SENTENCE_END), 1, True).over(w)
-    starts = marked.withColumn("starts", F.when(F.col("blank"), False).otherwise(before))
-    numbered = starts.withColumn("para_no", F.sum(F.col("starts").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    body = numbered.filter(~F.col("blank"))
-    parts = F.array_sort(F.collect_list(F.struct("line_no", "line")))
-    return (
-        body.groupBy(*keys, "para_no")
-        .agg(F.min("line_no").alias("first_line"), parts.alias("parts"))
-        .withColumn("paragraph", F.array_join(F.transform("parts", lambda p: p["line"]), " "))
-        .drop("parts")
+    lines = F.transform(F.split(text, "\r?\n"), lambda x: F.trim(F.regexp_replace(x, r"[\s]+", " ")))
+
+    def mark(x: Column, i: Column) -> Column:
+        before = F.get(lines, i - 1)
+        starts = (i == 0) | (before == "") | before.rlike(T.SENTENCE_END)
+        return F.when(x == "", "").when(starts, F.concat(F.lit(_START), i.cast("string"), F.lit(_NUMBER), x)).otherwise(F.concat(F.lit(" "), x))
+
+    parts = F.filter(F.split(F.array_join(F.transform(lines, mark), ""), _START), lambda p: p != "")
+    return F.transform(
+        F.coalesce(parts, F.array().cast("array<string>")),
+        lambda p: F.struct(F.substring_index(p, _NUMBER, 1).cast("int").alias("first_line"), F.substring_index(p, _NUMBER, -1).alias("paragraph")),
     )
 
 
-def order_flags(paras: DataFrame, keys: list[str]) -> DataFrame:
-    """Adds ``orphan`` (begins mid-sentence after a finished one or a heading) and ``dangling``
-    (stops mid-phrase and is not continued)."""
-    w = Window.partitionBy(*keys).orderBy("para_no")
-    p, prev, after = F.col("paragraph"), F.col("prev"), F.col("after")
-    starts = ~p.rlike(T.LIST_MARKER) & p.rlike(r"^[a-z,)\]}]")
-    ends = (T.word_count(p) >= 4) & ~p.rlike("[:;]\\s*$") & p.rlike(r"(?:^| )[\"'(\[]*[a-z][^ ]*\s*$")
-    tail = p.rlike(r"(?:^| )(?:the|a|an|of|and|or|to|in|for|with|by|from|as|on|at|that|which|this)[\"')\].,;:]*\s*$")
-    return (
-        paras.withColumn("prev", F.lag("paragraph").over(w))
-        .withColumn("after", F.lead("paragraph").over(w))
-        .withColumn("orphan", F.coalesce(starts & (prev.rlike(T.SENTENCE_END) | T.heading_shape(prev)), F.lit(False)))
-        .withColumn(
-            "dangling",
-            F.coalesce(
-                ends & ~tail & ~p.rlike(T.SENTENCE_END) & ~T.heading_shape(p) & ~after.rlike("^[a-z0-9]"), F.lit(False)
-            ),
-        )
-        .drop("prev", "after")
+def paragraphs(df: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
+    """(keys, para_no, first_line, paragraph) of each text, para_no from 1."""
+    each = df.select(*keys, F.posexplode(paragraph_array(F.col(text_col))).alias("n", "p"))
+    return each.select(*keys, (F.col("n") + 1).cast("long").alias("para_no"), "p.first_line", "p.paragraph")
+
+
+def order_flags(paras: Column) -> Column:
+    """array<struct<orphan, dangling>> of an array of paragraphs in order.
+
+    An orphan begins mid-sentence after a finished paragraph or a heading; a dangling one stops
+    mid-phrase and is not continued.
+    """
+
+    def look(p: Column, i: Column) -> Column:
+        prev, after = F.get(paras, i - 1), F.get(paras, i + 1)
+        starts = ~p.rlike(T.LIST_MARKER) & p.rlike(r"^[a-z,)\]}]")
+        ends = (T.word_count(p) >= 4) & ~p.rlike("[:;]\\s*$") & p.rlike(r"(?:^| )[\"'(\[]*[a-z][^ ]*\s*$")
+        tail = p.rlike(rf"(?:^| )(?:{T.TAIL_WORDS})[\"')\].,;:]*\s*$")
+        orphan = F.coalesce(starts & (prev.rlike(T.SENTENCE_END) | T.heading_shape(prev)), F.lit(False))
+        whole = ~p.rlike(T.SENTENCE_END) & ~T.heading_shape(p) & ~after.rlike("^[a-z0-9]")
+        return F.struct(orphan.alias("orphan"), F.coalesce(ends & ~tail & whole, F.lit(False)).alias("dangling"))
+
+    return F.transform(paras, look)
+
+
+def longest_run(values: Column) -> Column:
+    """Length of the longest run of equal neighbours in an array of texts; null for an empty one."""
+
+    def step(a: Column, x: Column) -> Column:
+        n = F.when(x == a["last"], a["n"] + 1).otherwise(F.lit(1))
+        return F.struct(x.alias("last"), n.cast("long").alias("n"), F.greatest(a["best"], n.cast("long")).alias("best"))
+
+    zero = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("best"))
+    return F.when(F.size(values) > 0, F.aggregate(values, zero, step)["best"])
+
+
+def true_runs(flags: Column) -> Column:
+    """array<struct<first, length>> of the runs of true in an array of booleans, first from 1; linear."""
+
+    def mark(x: Column, i: Column) -> Column:
+        start = (i == 0) | ~F.get(flags, i - 1)
+        return F.when(~x, "").when(start, F.concat(F.lit(_START), (i + 1).cast("string"), F.lit(_NUMBER + "1"))).otherwise("1")
+
+    parts = F.filter(F.split(F.array_join(F.transform(flags, mark), ""), _START), lambda p: p != "")
+    return F.transform(
+        parts,
+        lambda p: F.struct(
+            F.substring_index(p, _NUMBER, 1).cast("int").alias("first"), F.length(F.substring_index(p, _NUMBER, -1)).cast("long").alias("length")
+        ),
     )
 
 

@@ -58,9 +58,9 @@ def locator_parts(spark, d):
 
 
 def url_redaction(spark, d):
-    """Locators with hidden query values and the hash of the whole locator."""
-    u = F.trim("source_locator")
-    return table(spark, d, "doc_records").filter("source_locator is not null").select(T.redact_url(u).alias("redacted"), F.sha2(u, 256).alias("url_sha256")).distinct()
+    """Locators with hidden secrets, and the hash of what is shown, which gives no secret away."""
+    u = T.redact_url(F.trim("source_locator"))
+    return table(spark, d, "doc_records").filter("source_locator is not null").select(u.alias("redacted"), F.sha2(u, 256).alias("url_sha256")).distinct()
 
 
 def storage_path(spark, d):
@@ -237,7 +237,8 @@ ORACLES = {
         n AS (SELECT DISTINCT company_id AS other, {_NORMAL.format(x='canonical_name')} AS name FROM cohort_companies) SELECT DISTINCT company_id, name, other FROM o JOIN n USING (name) WHERE name <> '' AND company_id <> other""",
     "locator_parts": r"""SELECT DISTINCT document_id, ingested_at, lower(regexp_extract(trim(source_locator), '^[a-zA-Z]+://([^/?#]+)', 1)) AS host,
         try_cast(regexp_extract(trim(source_locator), '(?i)/ar/([0-9]{4})/', 1) AS INT) AS year, regexp_extract(trim(source_locator), '/([0-9]+)\.[pP][dD][fF]', 1) AS number FROM doc_records""",
-    "url_redaction": r"""SELECT DISTINCT regexp_replace(trim(source_locator), '([?&][^=&#]+=)[^&#]*', '\1REDACTED', 'g') AS redacted, sha256(trim(source_locator)) AS url_sha256 FROM doc_records WHERE source_locator IS NOT NULL""",
+    "url_redaction": f"""WITH r AS (SELECT DISTINCT regexp_replace(trim(source_locator), '{T.SECRET}', '\\1%5BREDACTED%5D', 'g') AS redacted FROM doc_records WHERE source_locator IS NOT NULL)
+        SELECT redacted, sha256(redacted) AS url_sha256 FROM r""",
     "storage_path": """WITH h AS (SELECT lower(trim(sha256)) AS h FROM doc_records) SELECT DISTINCT 'blobs/' || h[1:2] || '/' || h[3:4] || '/' || h || '.pdf' AS path FROM h WHERE regexp_matches(h, '^[0-9a-f]{64}$')""",
     "title_slugs": "SELECT DISTINCT company_id, upper(regexp_replace(trim(canonical_name), '[^A-Za-z0-9._-]+', '_', 'g'))[1:80] AS slug FROM cohort_companies",
     "heading_normal_form": "SELECT trim(regexp_replace(regexp_replace(lower(heading_text), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g')) AS heading, count(DISTINCT label_id) AS labels FROM annexure_audit_document_labels WHERE heading_text IS NOT NULL GROUP BY 1",

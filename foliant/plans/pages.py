@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from foliant.config import GATE, SECTION, TRIAGE
+from foliant.functions import patterns as P
 from foliant.functions import text as T
 from foliant.operators import lines as L
 from foliant.session import table
@@ -81,16 +82,21 @@ def script_profile(spark, d):
 
 
 def quality_gate(spark, d):
-    """First reason to refuse a recognised page: few words, low confidence, symbols, run-on tokens."""
+    """First reason to refuse a recognised page: few words, low confidence, symbols, run-on tokens, one line over and over.
+
+    Letters, marks and digits of every script are no symbols.
+    """
     pages = table(spark, d, "ocr_pages").select("document_id", "page_no", "text", "mean_conf", "engine").distinct()
     words, chars = T.word_count(F.col("text")), F.length("text")
-    good = T.hits(F.col("text"), r"[A-Za-z0-9\s]")
+    good = T.hits(F.col("text"), r"[\p{L}\p{M}\p{N}\s]")
+    same = L.longest_run(F.filter(F.transform(F.split("text", "\r?\n"), lambda x: F.trim(x)), lambda x: x != ""))
     long = T.hits(F.col("text"), r"[^ \t\n\r\f]{31,}")
     reason = F.coalesce(
         F.when(words < GATE.min_words, "too_few_words"),
         F.when(F.col("mean_conf") / 100 < GATE.min_conf, "low_conf"),
         F.when(good < chars * (1 - GATE.max_symbols), "high_symbol_noise"),
         F.when(long > F.greatest(F.lit(3.0), words * 0.02), "run_on_tokens"),
+        F.when(same >= GATE.repeat_run, "degenerate"),
         F.lit("ok"),
     )
     return pages.select("document_id", "page_no", "engine", words.alias("n_words"), reason.alias("verdict"))
@@ -98,8 +104,8 @@ def quality_gate(spark, d):
 
 def degenerate_line_runs(spark, d):
     """The longest run of identical lines of each text, and whether it looks degenerate."""
-    rows = L.to_lines(table(spark, d, "documents"), ["doc_id"]).withColumn("line", F.trim("line")).filter("line <> ''")
-    longest = L.runs(rows, ["doc_id"], "line_no", "line").groupBy("doc_id").agg(F.max("length").alias("longest"))
+    full = F.filter(F.transform(F.split("text", "\r?\n"), lambda x: F.trim(x)), lambda x: x != "")
+    longest = table(spark, d, "documents").select("doc_id", L.longest_run(full).alias("longest")).filter("longest is not null")
     return longest.withColumn("degenerate", F.col("longest") >= GATE.repeat_run)
 
 
@@ -129,16 +135,17 @@ def adjacent_headers(spark, d):
 
 
 def paragraph_reconstruction(spark, d):
-    paras = L.paragraphs(L.to_lines(table(spark, d, "documents"), ["doc_id"]), ["doc_id"])
+    paras = L.paragraphs(table(spark, d, "documents"), ["doc_id"])
     return paras.select("doc_id", "para_no", "first_line", F.md5("paragraph").alias("digest"))
 
 
 def _order(spark, d) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "document_id", "physical_page", "text")
     keys = ["doc_id", "document_id", "physical_page"]
-    paras = L.paragraphs(L.to_lines(docs, keys), keys)
-    flags = L.order_flags(paras, keys)
-    return flags.groupBy(*keys).agg(F.count("*").alias("paragraphs"), F.count_if("orphan").alias("orphans"), F.count_if("dangling").alias("danglers"))
+    paras = F.transform(L.paragraph_array(F.col("text")), lambda p: p["paragraph"])
+    own = table(spark, d, "documents").select(*keys, paras.alias("p")).filter("size(p) > 0")
+    flags = own.select(*keys, L.order_flags(F.col("p")).alias("f"))
+    count = lambda k: F.size(F.filter("f", lambda x: x[k])).cast("long")
+    return flags.select(*keys, F.size("f").cast("long").alias("paragraphs"), count("orphan").alias("orphans"), count("dangling").alias("danglers"))
 
 
 def order_quality_doc(spark, d):
@@ -187,22 +194,15 @@ def section_qc(spark, d):
     return base.withColumn("reasons", F.array_join(reasons, ","))
 
 
-LEAKS = ("subject to final approval", "which auditors have verified", "as disclosed in the notes", "pending environmental clearance")
-
-
 def leak_detection(spark, d):
-    """Texts that hold passages of other sections, one pass over the text for all passages."""
-    low = F.lower("text")
-    tags = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(p)), F.lit(str(k))) for k, p in enumerate(LEAKS)]))
-    return table(spark, d, "documents").select("doc_id", F.array_join(tags, ",").alias("leaks")).filter("leaks <> ''")
-
-
-CUES = ("Industry\\s+Structure", "Opportunities\\s+and\\s+Threats", "Segment\\s+Performance", "\\bOutlook\\b", "Risks?\\s+and\\s+Concerns?",
-        "Internal\\s+Control\\s+Systems?", "Cautionary\\s+Statement", "Human\\s+Resources?", "order\\s+book", "per\\s+cent")
+    """Tags of passages of other sections that a text holds, one pass over the text for all; empty without any."""
+    low = F.lower(F.coalesce("text", F.lit("")))
+    tags = F.array_compact(F.array(*[F.when(low.rlike(p), F.lit(tag)) for p, tag in P.LEAKS]))
+    return table(spark, d, "documents").select("doc_id", F.array_join(tags, ",").alias("leaks"))
 
 
 def _cue_pages(spark, d) -> DataFrame:
-    score = sum((T.hits(F.col("text"), "(?i)" + c) for c in CUES), F.lit(0))
+    score = sum((T.hits(F.concat_ws("\n", "section_title", "text"), "(?i)" + c) for c in P.BODY_CUES), F.lit(0))
     pages = table(spark, d, "documents").filter("document_id is not null and physical_page is not null")
     return pages.groupBy("document_id", "physical_page").agg(F.sum(F.least(score, F.lit(4))).alias("cues"))
 
@@ -248,11 +248,10 @@ def fiscal_year_vote(spark, d):
 
 def table_runs(spark, d):
     """Runs of at least three lines of figures: where tables stand in a text."""
-    rows = L.to_lines(table(spark, d, "documents"), ["doc_id"]).filter(F.trim("line") != "")
-    figures = T.hits(F.col("line"), "[0-9]") * 2 >= T.hits(F.col("line"), "[A-Za-zऀ-ॿ઀-૿]")
-    w = Window.partitionBy("doc_id").orderBy("line_no")
-    dense = rows.select("doc_id", F.row_number().over(w).alias("pos"), figures.alias("figures"))
-    return L.runs(dense, ["doc_id"], "pos", "figures").filter("figures and length >= 3").select("doc_id", "first", "length")
+    full = F.filter(F.split("text", "\r?\n"), lambda x: F.trim(x) != "")
+    figures = F.transform(full, lambda x: T.hits(x, "[0-9]") * 2 >= T.hits(x, "[A-Za-zऀ-ॿ઀-૿]"))
+    runs = table(spark, d, "documents").select("doc_id", F.explode(L.true_runs(figures)).alias("r"))
+    return runs.select("doc_id", "r.first", "r.length").filter("length >= 3")
 
 
 def dehyphenated_lines(spark, d):
@@ -297,12 +296,12 @@ _ORDER = (
 o1 AS (SELECT *, lag(p) OVER w AS prev, lead(p) OVER w AS after FROM pa WINDOW w AS (PARTITION BY doc_id, document_id, physical_page ORDER BY para_no)),
 o2 AS (SELECT *, coalesce(NOT regexp_matches(p, '^\s*\(?([a-z]|[ivx]{2,3}|[0-9]{1,2})[.)]\s') AND regexp_matches(p, '^[a-z,)\]}]') AND (""" + _END.format(x="prev") + " OR " + _HEAD.format(x="prev").replace("{2,3}", "{2,3}") + r"""), false) AS orphan,
   coalesce(len(regexp_extract_all(p, '[^ \t\n\r\f]+')) >= 4 AND NOT regexp_matches(p, '[:;]\s*$') AND regexp_matches(p, '(?:^| )["''(\[]*[a-z][^ ]*\s*$')
-    AND NOT regexp_matches(p, '(?:^| )(?:the|a|an|of|and|or|to|in|for|with|by|from|as|on|at|that|which|this)["'')\].,;:]*\s*$')
+    AND NOT regexp_matches(p, '(?:^| )(?:""" + T.TAIL_WORDS + r""")["'')\].,;:]*\s*$')
     AND NOT """ + _END.format(x="p") + " AND NOT " + _HEAD.format(x="p") + r""" AND NOT regexp_matches(after, '^[a-z0-9]'), false) AS dangling FROM o1),
 od AS (SELECT doc_id, document_id, physical_page, count(*) AS paragraphs, count_if(orphan) AS orphans, count_if(dangling) AS danglers FROM o2 GROUP BY ALL)"""
 )
 _ORDER_DOC = _ORDER + ", dq AS (SELECT doc_id, paragraphs, orphans, danglers, CASE WHEN paragraphs >= 5 THEN orphans / paragraphs ELSE 0.0 END AS orphan_share FROM od)"
-_SCORE = " + ".join(f"len(regexp_extract_all(coalesce(text, ''), '(?i){c}'))" for c in CUES)
+_SCORE = " + ".join(f"len(regexp_extract_all(concat_ws(chr(10), section_title, text), '(?i){c}'))" for c in P.BODY_CUES)
 ORACLES = {
     "page_triage": f"{_KIND_SQL} SELECT document_id, physical_page, kind, {_NEEDS} AS needs_ocr FROM k",
     "doc_kind_rollup": f"""{_KIND_SQL}, b AS (SELECT document_id, count(*) AS pages, count_if(kind <> 'blank') AS content, count_if({_NEEDS}) AS to_read,
@@ -315,10 +314,13 @@ ORACLES = {
         {_N('[A-Za-z]', "coalesce(text, '')")} AS latin FROM documents) SELECT *, CASE WHEN devanagari + indic + latin = 0 THEN 'unknown'
         WHEN indic / (devanagari + indic + latin) < 0.05 THEN 'latin' WHEN indic / (devanagari + indic + latin) <= 0.85 THEN 'mixed'
         WHEN devanagari >= indic * 0.8 THEN 'devanagari' ELSE 'other_indic' END AS script FROM x""",
-    "quality_gate": rf"""WITH x AS (SELECT DISTINCT document_id, page_no, text, mean_conf, engine FROM ocr_pages)
-        SELECT document_id, page_no, engine, {_N(_W, 'text')} AS n_words, CASE WHEN {_N(_W, 'text')} < 40 THEN 'too_few_words' WHEN mean_conf / 100 < 0.72 THEN 'low_conf'
-        WHEN len(regexp_extract_all(text, '[A-Za-z0-9\s]')) < length(text) * 0.75 THEN 'high_symbol_noise'
-        WHEN len(regexp_extract_all(text, '[^ \t\n\r\f]{{31,}}')) > greatest(3.0, {_N(_W, 'text')} * 0.02) THEN 'run_on_tokens' ELSE 'ok' END AS verdict FROM x""",
+    "quality_gate": rf"""WITH x AS (SELECT DISTINCT document_id, page_no, text, mean_conf, engine FROM ocr_pages),
+        l0 AS (SELECT DISTINCT text, unnest(regexp_split_to_array(text, '\r?\n')) AS raw, generate_subscripts(regexp_split_to_array(text, '\r?\n'), 1) AS k FROM (SELECT DISTINCT text FROM x WHERE text IS NOT NULL)),
+        l1 AS (SELECT text, trim(raw) AS line, row_number() OVER (PARTITION BY text ORDER BY k) AS pos FROM l0 WHERE trim(raw) <> ''),
+        l2 AS (SELECT text, line, pos - row_number() OVER (PARTITION BY text, line ORDER BY pos) AS g FROM l1), l3 AS (SELECT text, line, g, count(*) AS n FROM l2 GROUP BY ALL), l4 AS (SELECT text, max(n) AS same FROM l3 GROUP BY 1)
+        SELECT document_id, page_no, engine, {_N(_W, 'x.text')} AS n_words, CASE WHEN {_N(_W, 'x.text')} < 40 THEN 'too_few_words' WHEN mean_conf / 100 < 0.72 THEN 'low_conf'
+        WHEN len(regexp_extract_all(x.text, '[\p{{L}}\p{{M}}\p{{N}}\s]')) < length(x.text) * 0.75 THEN 'high_symbol_noise'
+        WHEN len(regexp_extract_all(x.text, '[^ \t\n\r\f]{{31,}}')) > greatest(3.0, {_N(_W, 'x.text')} * 0.02) THEN 'run_on_tokens' WHEN same >= 8 THEN 'degenerate' ELSE 'ok' END AS verdict FROM x LEFT JOIN l4 ON x.text = l4.text""",
     "degenerate_line_runs": "WITH " + _LINES.format(keys="doc_id") + """,
         a AS (SELECT doc_id, line_no, trim(raw) AS line FROM l0 WHERE trim(raw) <> ''),
         b AS (SELECT *, CASE WHEN line = lag(line) OVER (PARTITION BY doc_id ORDER BY line_no) THEN 0 ELSE 1 END AS c FROM a),
@@ -350,7 +352,7 @@ ORACLES = {
         {_N('[A-Za-zऀ-ॿ઀-૿]')} AS letters, len(regexp_extract_all(t, '[^ \t\n\r\f]{{29,}}')) AS long_tokens FROM x)
         SELECT *, concat_ws(',', CASE WHEN n_words < 250 THEN 'too_short' END, CASE WHEN n_words > 25000 THEN 'too_long' END,
         CASE WHEN digits / greatest(letters + digits, 1) > 0.25 THEN 'looks_like_tables' END, CASE WHEN long_tokens * 50 > n_words THEN 'run_on_tokens' END) AS reasons FROM y""",
-    "leak_detection": "WITH x AS (SELECT doc_id, concat_ws(',', " + ", ".join(f"CASE WHEN contains(lower(text), '{p}') THEN '{k}' END" for k, p in enumerate(LEAKS)) + ") AS leaks FROM documents) SELECT * FROM x WHERE leaks <> ''",
+    "leak_detection": "SELECT doc_id, concat_ws(',', " + ", ".join(f"CASE WHEN regexp_matches(lower(coalesce(text, '')), '{p}') THEN '{tag}' END" for p, tag in P.LEAKS) + ") AS leaks FROM documents",
     "body_cue_best_run": f"""WITH c AS (SELECT document_id, physical_page, CAST(sum(least({_SCORE}, 4)) AS BIGINT) AS cues FROM documents
         WHERE document_id IS NOT NULL AND physical_page IS NOT NULL GROUP BY ALL),
         r AS (SELECT *, cues * 2 - 3 AS gain, sum(cues * 2 - 3) OVER (PARTITION BY document_id ORDER BY physical_page) AS total FROM c),

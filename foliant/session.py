@@ -47,10 +47,12 @@ def local_session(cpus: int | str = 8, partitions: int = 8, memory: str = "8g")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a temporary one is set only where the session names none."""
+    """The shared checkpoint folder; a temporary one is set only in local sessions that name none."""
     jsc = spark.sparkContext._jsc.sc()
     if not jsc.getCheckpointDir().isDefined():
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("on a cluster spark.checkpoint.dir must name a shared folder")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="foliant-checkpoint-"))
     return jsc.getCheckpointDir().get()
 
@@ -62,6 +64,7 @@ def cut(df: DataFrame) -> DataFrame:
     of joins they would grow without bound. Run-time re-planning sees the real sizes.
     """
     spark = df.sparkSession
+    ship(spark)
     checkpoint_root(spark)
     kept = df.checkpoint(eager=True)._jdf
     return DataFrame(spark._jsparkSession.internalCreateDataFrame(kept.queryExecution().toRdd(), kept.schema(), False), spark)

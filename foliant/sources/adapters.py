@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from foliant.session import ship
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ def fetch_documents(refs: DataFrame, fetch: Fetch, attempts: int = 3, pause: flo
     the host, so the rate holds however many executors there are. A host with most of the rows is
     as slow as its own limit.
     """
+    ship(refs.sparkSession)
     host = F.lower(F.regexp_extract("url", "^[a-zA-Z]+://([^/?#]+)", 1))
     spread = refs.select("url", host.alias("host"))
     spread = spread.repartition(partitions, "host") if partitions else spread.repartition("host")
@@ -69,6 +71,7 @@ def recognise_pages(pages: DataFrame, ladder: list[tuple[str, Recognise]], accep
                 rows.append((d, p, *best, "; ".join(errors) or None))
             yield pd.DataFrame(rows, columns=["document_id", "page_no", "text", "mean_conf", "engine", "error"])
 
+    ship(pages.sparkSession)
     return pages.select("document_id", "page_no", "image", "language").mapInPandas(
         work, "document_id string, page_no int, text string, mean_conf double, engine string, error string"
     )
@@ -92,4 +95,5 @@ def unzip_largest(files: DataFrame, suffix: str = ".pdf") -> DataFrame:
                     rows.append((path, None, None))
             yield pd.DataFrame(rows, columns=["path", "name", "content"])
 
+    ship(files.sparkSession)
     return files.select("path", "content").mapInPandas(work, "path string, name string, content binary")

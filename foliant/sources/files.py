@@ -64,11 +64,11 @@ def split_quarantine(rows: DataFrame, bad: Column) -> tuple[DataFrame, DataFrame
     return rows.filter(~b), rows.filter(b)
 
 
-def read_locked(rows: DataFrame, split_col: str, locked: str = "HOLDOUT", approved: bool = False) -> DataFrame:
-    """Rows without the locked split; asking for it without approval is an error at once."""
-    if approved:
-        return rows
-    return rows.filter(F.coalesce(F.upper(F.trim(split_col)), F.lit("")) != locked)
+def read_split(rows: DataFrame, split_col: str, wanted: str, locked: str = "HOLDOUT", approved: bool = False) -> DataFrame:
+    """The rows of one split, whatever its notation; asking for the locked one without approval is refused."""
+    if wanted.strip().upper() == locked and not approved:
+        raise PermissionError(f"the split {locked} is locked")
+    return rows.filter(F.upper(F.trim(split_col)) == wanted.strip().upper())
 
 
 def read_blobs(spark: SparkSession, path: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from foliant.session import checkpoint_root
+from foliant.session import checkpoint_root, ship
 
 WATERMARK = "10 minutes"
 
@@ -126,6 +126,7 @@ def paced(events: DataFrame, key: str = "user_id", seconds: float = 3600.0) -> D
         state.update((slot, granted, delayed))
         yield pd.DataFrame({key: [k[0]], "granted": [granted], "delayed": [delayed], "next_slot": [slot]})
 
+    ship(events.sparkSession)
     ready = events.select(key, "ts")
     return ready.groupBy(key).applyInPandasWithState(
         step, f"{key} long, granted long, delayed long, next_slot double", "slot double, granted long, delayed long",

@@ -35,7 +35,8 @@ def test_names_and_lines(spark):
     assert one(spark, T.normal_name, "The Alpha & Beta Co. Ltd.", None) == ["alpha beta", None]
     assert one(spark, T.furniture_key, "Annual  Report 2014") == ["annual report"]
     assert one(spark, T.heading_shape, "GLOBAL ECONOMY", "Risk and Outlook", "At one time we saw", "Ends with stop.") == [True, True, False, False]
-    assert one(spark, T.redact_url, "http://h/p?key=abc&z=1#f") == ["http://h/p?key=REDACTED&z=REDACTED#f"]
+    got = one(spark, T.redact_url, "http://h/p?api_Key=abc&z=1#f", "http://h/p?pwd=x&a=b&sessionid=3", "http://h/key=1", None)
+    assert got == ["http://h/p?api_Key=%5BREDACTED%5D&z=1#f", "http://h/p?pwd=%5BREDACTED%5D&a=b&sessionid=%5BREDACTED%5D", "http://h/key=1", None]
 
 
 @pytest.mark.parametrize(
@@ -51,14 +52,14 @@ def test_iou(spark, spans, iou, hull):
 def test_paragraphs(spark):
     text = "First line\ngoes on. \n\nSecond paragraph\n\n\nThird.\nFourth"
     df = spark.createDataFrame([(1, text), (2, None), (3, "")], "id int, text string")
-    got = [tuple(r) for r in lines.paragraphs(lines.to_lines(df, ["id"]), ["id"]).orderBy("id", "para_no").select("id", "first_line", "paragraph").collect()]
+    got = [tuple(r) for r in lines.paragraphs(df, ["id"]).orderBy("id", "para_no").select("id", "first_line", "paragraph").collect()]
     assert got == [(1, 0, "First line goes on."), (1, 3, "Second paragraph"), (1, 6, "Third."), (1, 7, "Fourth")]
 
 
 def test_orphans(spark):
-    rows = [(1, 1, "A full sentence."), (1, 2, "and then it goes wrong here"), (1, 3, "New Start Of Things."), (1, 4, "a) listed item.")]
-    df = spark.createDataFrame(rows, "id int, para_no int, paragraph string")
-    got = [(r.orphan, r.dangling) for r in lines.order_flags(df, ["id"]).orderBy("para_no").collect()]
+    rows = ["A full sentence.", "and then it goes wrong here", "New Start Of Things.", "a) listed item."]
+    df = spark.createDataFrame([(rows,)], "p array<string>")
+    got = [(r.orphan, r.dangling) for r in df.select(lines.order_flags(F.col("p"))).first()[0]]
     assert got == [(False, False), (True, True), (False, False), (False, False)]
 
 
@@ -66,6 +67,9 @@ def test_runs_and_windows(spark):
     df = spark.createDataFrame([(1, i, v) for i, v in enumerate("aabbba")], "id int, n int, v string")
     got = sorted((r["first"], r["v"], r["length"]) for r in lines.runs(df, ["id"], "n", "v").collect())
     assert got == [(0, "a", 2), (2, "b", 3), (5, "a", 1)]
+    a = spark.createDataFrame([(list("aabbba"), [True, False, True, True]), ([], [])], "x array<string>, f array<boolean>")
+    assert [r[0] for r in a.select(lines.longest_run(F.col("x"))).collect()] == [3, None]
+    assert [[tuple(x) for x in r[0]] for r in a.select(lines.true_runs(F.col("f"))).collect()] == [[(1, 1), (3, 2)], []]
     t = spark.createDataFrame([(1, "x" * 4500), (2, ""), (3, None)], "id int, text string")
     assert sorted(len(r.chunk) for r in lines.text_windows(t, ["id"], 2000).collect()) == [500, 2000, 2000]
 

@@ -37,7 +37,9 @@ def test_snapshot_quarantine_locked(spark, tmp_path):
     assert dict(spark.read.parquet(str(tmp_path / "s")).dtypes)["a"] == "string"
     kept, bad = files.split_quarantine(df, F.col("split") == "FIT")
     assert (kept.count(), bad.count()) == (2, 1)
-    assert files.read_locked(df, "split").count() == 2 and files.read_locked(df, "split", approved=True).count() == 3
+    assert files.read_split(df, "split", "FIT").count() == 1 and files.read_split(df, "split", "HOLDOUT", approved=True).count() == 1
+    with pytest.raises(PermissionError):
+        files.read_split(df, "split", " holdout")
 
 
 def test_html_and_markdown(spark):
