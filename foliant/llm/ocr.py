@@ -216,8 +216,21 @@ def lexicon_of(counts: DataFrame) -> DataFrame:
 
 
 def best_known(lexicon: DataFrame) -> dict[str, int]:
-    """The KNOWN_WORDS most frequent words of a lexicon."""
-    return {r["word"]: r["n"] for r in lexicon.orderBy(F.desc("n"), "word").limit(KNOWN_WORDS).collect()}
+    """At most KNOWN_WORDS of the most frequent words of a lexicon.
+
+    Taken are all words of the highest eighths of octaves of frequency that together hold no more;
+    so no task sends more than its share of them.
+    """
+    eighth = F.floor(F.log2(F.col("n").cast("double")) * 8).cast("int")
+    held, least = 0, None
+    for r in sorted(lexicon.groupBy(eighth.alias("k")).agg(F.count("*").alias("n")).collect(), reverse=True):
+        held += r["n"]
+        if held > KNOWN_WORDS:
+            break
+        least = r["k"]
+    if least is None:
+        return {}
+    return {r["word"]: r["n"] for r in lexicon.filter(eighth >= least).collect()}
 
 
 class Sieve:
@@ -414,7 +427,11 @@ def line_features(r) -> list[float]:
 
 def train_furniture(evidence: DataFrame) -> tuple[Booster, Booster]:
     """(header, number) classifiers from a bounded sample of lines that the evidence itself labels."""
-    rows = evidence.orderBy(F.xxhash64("document_id", "page_no", "line_no")).limit(TRAIN_LINES).collect()
+    mark = F.xxhash64("document_id", "page_no", "line_no")
+    # Only about twice as many as are needed, those under a bound on the hash, are sorted.
+    bound = (1 << 64) * min(1.0, 2.0 * TRAIN_LINES / max(1, evidence.count())) - (1 << 63)
+    some = evidence.filter(mark < F.lit(min(bound, (1 << 63) - 1)).cast("long"))
+    rows = some.orderBy(mark, "document_id", "page_no", "line_no").limit(TRAIN_LINES).collect()
     hx, hy, nx, ny = [], [], [], []
     for r in rows:
         x = line_features(r)
