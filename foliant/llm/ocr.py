@@ -549,6 +549,17 @@ class Reader:
     def __init__(self, sought: Sieve, whole: Sieve) -> None:
         self.sought, self.whole = sought, whole
         self.words: dict[str, tuple[tuple[str, str | None], ...]] = {}
+        self.pieces: dict[str, tuple[tuple[str, str], tuple[str, str]]] = {}
+
+    def ends(self, raw: str) -> tuple[tuple[str, str], tuple[str, str]]:
+        """(last piece, first piece) of a token, each as written and as a word."""
+        known = self.pieces.get(raw)
+        if known is None:
+            parts = _PY_SPLIT.split(raw)
+            if len(self.pieces) > 200_000:
+                self.pieces.clear()
+            known = self.pieces[raw] = (parts[-1], clean_word(parts[-1])), (parts[0], clean_word(parts[0]))
+        return known
 
     def wrong(self, raw: str) -> tuple[tuple[str, str | None], ...]:
         """(word, number it stands for or null) of the words of a token that may be misread."""
@@ -571,8 +582,7 @@ class Reader:
         if not line or not following:
             return None
         if line[-1].isalpha() and following[0].islower():
-            left, right = _PY_SPLIT.split(line.rsplit(None, 1)[-1])[-1], _PY_SPLIT.split(following.split(None, 1)[0])[0]
-            a, b = clean_word(left), clean_word(right)
+            (left, a), (right, b) = self.ends(line.rsplit(None, 1)[-1])[0], self.ends(following.split(None, 1)[0])[1]
             return (left, right, "") if a and b and a + b in self.whole else None
         if len(line) < 2 or line[-1] not in HYPHENS or not line[-2].isalnum():
             return None
@@ -810,9 +820,14 @@ def repair(pages: DataFrame, reference: list[DataFrame] | None = None) -> DataFr
     """
     lines, words = (cut(x) for x in analyse(pages, reference))
     key = ["document_id", "page_no"]
-    drop = lines.filter("noise in ('header', 'page_number')").groupBy(*key).agg(F.collect_set("line_no").alias("drop"))
-    going = lines.filter("noise = 'hyphen'").groupBy(*key).agg(F.collect_set("line_no").alias("going"))
-    fixes = words.groupBy(*key).agg(F.collect_set(F.struct("word", "replacement")).alias("fixes"))
+    none = F.lit(None).cast("string")
+    marks = lines.filter("noise <> 'misread'").select(*key, "noise", "line_no", none.alias("word"), none.alias("replacement"))
+    marks = marks.unionByName(words.select(*key, F.lit("misread").alias("noise"), "line_no", "word", "replacement"))
+    at = lambda c: F.collect_set(F.when(c, F.col("line_no")))
+    fix = F.collect_set(F.when(F.col("noise") == "misread", F.struct("word", "replacement")))
+    marks = marks.groupBy(*key).agg(
+        at(F.col("noise").isin("header", "page_number")).alias("drop"), at(F.col("noise") == "hyphen").alias("going"), fix.alias("fixes")
+    )
 
     @F.pandas_udf("string")
     def mend(text: pd.Series, d: pd.Series, g: pd.Series, f: pd.Series) -> pd.Series:
@@ -828,12 +843,12 @@ def repair(pages: DataFrame, reference: list[DataFrame] | None = None) -> DataFr
         own = pages.select(*key, "text").distinct()
     else:
         own = pages.groupBy(*key, "text").agg(F.max("blocks").alias("blocks"))
-    marked = own.join(drop, key, "left").join(going, key, "left").join(fixes, key, "left")
+    marked = own.join(marks, key, "left")
     out = [*key, mend("text", "drop", "going", "fixes").alias("paragraphs")]
     if "blocks" in pages.columns:
         kind = pages.schema["blocks"].dataType
 
-        @F.udf(kind)
+        @F.udf(kind, useArrow=True)
         def mend_blocks(text, blocks, d, g, f):
             if blocks is None:
                 return None
