@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("coverage", "pages", "scoring", "entities", "sections", "verification")
+FAMILIES = ("coverage", "pages", "scoring", "entities", "sections", "verification", "audit")
 
 
 def never_null(sql: str) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 STAGES = ("expected", "discovered", "stored", "profiled", "located", "accepted")
 YEARS = (2010, 2025)
+_FIELDS = ("company_id", "fiscal_year", "sha256", "page_count", "producer", "split", "source_locator", "ingested_at")
 GOOD_HASH = "^[0-9a-f]{64}$"
 
 
@@ -190,9 +191,9 @@ def missing_years(spark, d):
 
 
 def resume_todo(spark, d):
-    """Documents that are stored but not profiled yet."""
-    records, census = table(spark, d, "doc_records"), table(spark, d, "page_census")
-    return records.select("document_id", "company_id", "fiscal_year").distinct().join(census, "document_id", "left_anti")
+    """Documents that are stored but not judged yet."""
+    records, judged = table(spark, d, "doc_records"), table(spark, d, "raw_records").select("document_id")
+    return records.select("document_id", "company_id", "fiscal_year").distinct().join(judged, "document_id", "left_anti")
 
 
 def unknown_company_documents(spark, d):
@@ -236,7 +237,7 @@ def latest_delivery(spark, d):
 
 def delivery_changes(spark, d):
     """Fields that differ between the first and the last delivery of a document."""
-    fields = ("company_id", "fiscal_year", "sha256", "page_count", "producer", "split")
+    fields = _FIELDS
     records = table(spark, d, "doc_records").withColumn("at", F.coalesce("ingested_at", F.lit("1900-01-01").cast("timestamp")))
     ends = records.groupBy("document_id").agg(F.min("at").alias("a"), F.max("at").alias("b")).filter("a < b")
     value = [F.max(F.col(f).cast("string")).alias(f) for f in fields]
@@ -273,7 +274,6 @@ _STEPS = " UNION ALL ".join(
     f"SELECT cap_band, '{a}>{b}' AS step, CASE WHEN count_if({a}) > 0 THEN 100.0::DOUBLE * (count_if({a}) - count_if({b})) / count_if({a}) END AS loss FROM st GROUP BY 1"
     for a, b in zip(STAGES, STAGES[1:])
 )
-_FIELDS = ("company_id", "fiscal_year", "sha256", "page_count", "producer", "split")
 ORACLES = {
     "coverage_funnel": f"""{_BASE}, l AS ({_LONG}) SELECT stage_no, stage, n, lag(n) OVER (ORDER BY stage_no) - n AS lost,
         (lag(n) OVER (ORDER BY stage_no) - n) * 100 / lag(n) OVER (ORDER BY stage_no) AS loss_pct FROM l""",
@@ -304,7 +304,7 @@ h AS (SELECT DISTINCT company_id, fiscal_year AS y FROM doc_records WHERE fiscal
 g AS (SELECT o.company_id, y.y, h.y IS NOT NULL AS has FROM o CROSS JOIN range(2010, 2026) y(y) LEFT JOIN h ON h.company_id = o.company_id AND h.y = y.y)
 SELECT company_id, CAST(count_if(has) AS INT) AS n_have, coalesce(string_agg(y::VARCHAR, ',' ORDER BY y) FILTER (has), '') AS have,
     coalesce(string_agg(y::VARCHAR, ',' ORDER BY y) FILTER (NOT has), '') AS missing FROM g GROUP BY 1""",
-    "resume_todo": "SELECT DISTINCT document_id, company_id, fiscal_year FROM doc_records r WHERE NOT EXISTS (SELECT 1 FROM page_census c WHERE c.document_id = r.document_id)",
+    "resume_todo": "SELECT DISTINCT document_id, company_id, fiscal_year FROM doc_records r WHERE NOT EXISTS (SELECT 1 FROM raw_records c WHERE c.document_id = r.document_id)",
     "unknown_company_documents": f"WITH {_IDS} SELECT DISTINCT document_id, company_id FROM doc_records r WHERE NOT EXISTS (SELECT 1 FROM ids WHERE key <> '' AND key = r.company_id)",
     "document_company_join": f"""WITH {_IDS}, k AS (SELECT DISTINCT company_id, key FROM ids WHERE key <> ''), r AS (SELECT DISTINCT document_id, company_id AS key FROM doc_records)
         SELECT document_id, min(company_id) AS first_company, count(DISTINCT company_id) AS n_companies FROM r JOIN k USING (key) GROUP BY 1""",

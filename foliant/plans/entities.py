@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from foliant.functions import text as T
 from foliant.operators.cover import greedy_cover, rarity
 from foliant.operators.geometry import covered_cells, order_blocks, vertical_gaps
@@ -13,6 +15,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: What predicate texts may name: columns of the census and logical words.
+PREDICATE_COLUMNS = {"char_count", "word_count", "image_area_frac", "estimated_columns", "rotation", "physical_page", "page_count", "and", "or", "not"}
+
+
 def company_names(spark, d):
     """Canonical names and aliases without legal form, once each, with how many companies bear them."""
     c = table(spark, d, "cohort_companies")
@@ -40,7 +46,7 @@ def entity_components(spark, d):
 
 
 def former_name_chain(spark, d):
-    """Aliases that are present names of other companies: a rename or a namesake."""
+    """Aliases that are present names of other companies, a rename or a namesake; ``rename_chains`` follows them to the end."""
     c = table(spark, d, "cohort_companies")
     old = c.select("company_id", F.explode(F.split("aliases", r"\|")).alias("a")).select("company_id", T.normal_name(F.col("a")).alias("name")).filter("name <> ''").distinct()
     now = c.select(F.col("company_id").alias("other"), T.normal_name(F.col("canonical_name")).alias("name")).distinct()
@@ -80,12 +86,12 @@ def heading_normal_form(spark, d):
 
 
 def character_error_rate(spark, d):
-    """Edit distance of typed company names to the closest listed name that starts alike, over its length."""
-    names = table(spark, d, "cohort_companies").select(F.lower(F.trim("canonical_name")).alias("listed")).distinct()
-    names = names.withColumn("head", F.substring("listed", 1, 5))
-    typed = table(spark, d, "annexure_audit_document_labels").select(F.lower(F.trim("company")).alias("typed")).filter("typed <> ''").distinct()
-    both = typed.withColumn("head", F.substring("typed", 1, 5)).join(names, "head")
-    return both.groupBy("typed").agg(F.min(F.levenshtein("typed", "listed") * 1000 / F.length("listed")).alias("per_mille"))
+    """Edit distance of the issuer that a report names to each name of its company, over the name's length; the least."""
+    c = table(spark, d, "cohort_companies")
+    names = c.select("company_id", F.explode(F.split(F.concat_ws("|", "canonical_name", "aliases"), r"\|")).alias("n")).select("company_id", F.lower(F.trim("n")).alias("listed"))
+    read = table(spark, d, "doc_records").select("document_id", "company_id", F.lower(F.trim("issuer")).alias("read")).filter("read <> ''").distinct()
+    both = read.join(names.filter("listed <> ''").distinct(), "company_id")
+    return both.groupBy("document_id", "company_id", "read").agg(F.min(F.levenshtein("read", "listed") * 1000 / F.length("listed")).alias("per_mille"))
 
 
 def gold_prediction_status(spark, d):
@@ -108,11 +114,15 @@ def next_terminator(spark, d):
 
 
 def taxonomy_predicates(spark, d):
-    """Pages per named predicate; predicates are text, checked against the columns they may use."""
+    """Pages per named predicate; predicates are text and may use nothing but PREDICATE_COLUMNS."""
     predicates = {
         "dense": "char_count >= 2000", "picture": "image_area_frac > 0.5", "two_column": "estimated_columns >= 2",
         "rotated": "rotation <> 0", "late": "physical_page * 2 > page_count",
     }
+    for text in predicates.values():
+        other = set(re.findall(r"[A-Za-z_]\w*", re.sub(r"'[^']*'", "", text))) - PREDICATE_COLUMNS
+        if other:
+            raise ValueError(f"a predicate names {', '.join(sorted(other))}")
     pairs = ", ".join(f"'{k}', ({v})" for k, v in predicates.items())
     long = table(spark, d, "page_census").selectExpr("document_id", f"stack({len(predicates)}, {pairs}) AS (predicate, holds)")
     return long.filter("holds").groupBy("predicate").agg(F.count("*").alias("pages"), F.count_distinct("document_id").alias("documents"))
@@ -242,8 +252,9 @@ ORACLES = {
     "storage_path": """WITH h AS (SELECT lower(trim(sha256)) AS h FROM doc_records) SELECT DISTINCT 'blobs/' || h[1:2] || '/' || h[3:4] || '/' || h || '.pdf' AS path FROM h WHERE regexp_matches(h, '^[0-9a-f]{64}$')""",
     "title_slugs": "SELECT DISTINCT company_id, upper(regexp_replace(trim(canonical_name), '[^A-Za-z0-9._-]+', '_', 'g'))[1:80] AS slug FROM cohort_companies",
     "heading_normal_form": "SELECT trim(regexp_replace(regexp_replace(lower(heading_text), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g')) AS heading, count(DISTINCT label_id) AS labels FROM annexure_audit_document_labels WHERE heading_text IS NOT NULL GROUP BY 1",
-    "character_error_rate": """WITH n AS (SELECT DISTINCT lower(trim(canonical_name)) AS l FROM cohort_companies), t AS (SELECT DISTINCT lower(trim(company)) AS typed FROM annexure_audit_document_labels WHERE trim(company) <> '')
-        SELECT typed, min(levenshtein(typed, l) * 1000 / length(l)) AS per_mille FROM t JOIN n ON typed[1:5] = l[1:5] GROUP BY 1""",
+    "character_error_rate": """WITH n AS (SELECT DISTINCT company_id, lower(trim(n)) AS l FROM (SELECT company_id, unnest(string_split(concat_ws('|', canonical_name, aliases), '|')) AS n FROM cohort_companies) WHERE trim(n) <> ''),
+        t AS (SELECT DISTINCT document_id, company_id, lower(trim(issuer)) AS "read" FROM doc_records WHERE trim(issuer) <> '')
+        SELECT document_id, company_id, "read", min(levenshtein("read", l) * 1000 / length(l)) AS per_mille FROM t JOIN n USING (company_id) GROUP BY ALL""",
     "gold_prediction_status": """WITH a AS (SELECT label_id, max(true_start_page) AS t, max(proposed_start_page) AS p FROM annexure_audit_document_labels GROUP BY 1)
         SELECT CASE WHEN t IS NULL THEN 'NO_GOLD' WHEN p IS NULL THEN 'NO_PREDICTION' WHEN p < 0 THEN 'INVALID' WHEN t = p THEN 'EXACT' WHEN abs(t - p) <= 2 THEN 'NEAR' ELSE 'WRONG' END AS status,
         count(*) AS n, CAST(sum(abs(t - p)) AS BIGINT) AS pages_off FROM a GROUP BY 1""",

@@ -110,7 +110,7 @@ def degenerate_line_runs(spark, d):
 
 
 def running_furniture(spark, d):
-    """Headers and footers that recur on enough different pages of a document."""
+    """Headers and footers that recur on enough different pages of a document; the profiled pages are few, so two are enough."""
     c = table(spark, d, "page_census")
     both = c.select("document_id", "physical_page", F.explode(F.array(
         F.struct(F.lit("top").alias("place"), F.col("top_furniture_text").alias("line")),
@@ -119,7 +119,7 @@ def running_furniture(spark, d):
     pages = c.groupBy("document_id").agg(F.count_distinct("physical_page").alias("pages"))
     by = both.select("document_id", "physical_page", "x.place", key.alias("form")).filter("form <> ''")
     counts = by.groupBy("document_id", "place", "form").agg(F.count_distinct("physical_page").alias("on_pages"))
-    least = F.greatest(F.lit(SECTION.furniture_pages), F.floor(F.col("pages") * SECTION.furniture_share))
+    least = F.greatest(F.lit(2), F.floor(F.col("pages") * SECTION.furniture_share))
     return counts.join(pages, "document_id").filter(F.col("on_pages") >= least)
 
 
@@ -331,7 +331,7 @@ ORACLES = {
         f AS (SELECT *, lower(trim(regexp_replace(regexp_replace(line, '[0-9]+', '', 'g'), '\s+', ' ', 'g'))) AS form FROM b),
         p AS (SELECT document_id, count(DISTINCT physical_page) AS pages FROM page_census GROUP BY 1),
         c AS (SELECT document_id, place, form, count(DISTINCT physical_page) AS on_pages FROM f WHERE form <> '' GROUP BY ALL)
-        SELECT c.*, pages FROM c JOIN p USING (document_id) WHERE on_pages >= greatest(4, floor(pages * 0.35))""",
+        SELECT c.*, pages FROM c JOIN p USING (document_id) WHERE on_pages >= greatest(2, floor(pages * 0.35))""",
     "adjacent_headers": """WITH c0 AS (SELECT *, row_number() OVER (PARTITION BY document_id, physical_page ORDER BY profiled_at DESC NULLS LAST,
         char_count DESC NULLS LAST, image_area_frac DESC NULLS LAST) AS rn FROM page_census),
         a AS (SELECT document_id, physical_page, lower(trim(top_furniture_text)) AS h FROM c0 WHERE rn = 1),

@@ -177,8 +177,10 @@ def salted_issuer_draw(spark, d):
     """Three documents of each company by salted hash; companies with fewer are marked short."""
     own = table(spark, d, "doc_records").select("company_id", "document_id").distinct().withColumn("rank", T.hash_rank(SEED, F.col("company_id"), F.col("document_id")))
     w = Window.partitionBy("company_id").orderBy("rank", "document_id")
-    out = own.withColumn("rn", F.row_number().over(w)).withColumn("n", F.count("*").over(Window.partitionBy("company_id")))
-    return out.filter("rn <= 3").select("company_id", "document_id", "rn", (F.col("n") < 3).alias("short"))
+    out = own.withColumn("rn", F.row_number().over(w)).filter("rn <= 3")  # kept per group before the shuffle
+    n = own.groupBy("company_id").agg(F.count("*").alias("n")).alias("c")
+    same = F.col("o.company_id").eqNullSafe(F.col("c.company_id"))
+    return out.alias("o").join(n, same).select("o.company_id", "document_id", "rn", (F.col("n") < 3).alias("short"))
 
 
 def earliest_latest_report(spark, d):
@@ -196,7 +198,8 @@ def quota_cohort(spark, d):
     quota = F.when(F.col("cap_band") == "large", 6).when(F.col("cap_band") == "mid", 8).when(F.col("cap_band") == "small", 10).otherwise(12)
     own = table(spark, d, "cohort_companies").filter("cap_band is not null").groupBy("company_id").agg(F.max("cap_band").alias("cap_band"), F.max("status").alias("status"))
     w = Window.partitionBy("cap_band").orderBy(F.when(F.col("status") == "active", 0).otherwise(1), T.hash_rank(SEED, F.col("company_id")))
-    return own.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= quota).select("company_id", "cap_band", "rn")
+    # The largest quota bounds each band before the shuffle; each band's own follows.
+    return own.withColumn("rn", F.row_number().over(w)).filter("rn <= 12").filter(F.col("rn") <= quota).select("company_id", "cap_band", "rn")
 
 
 def issuer_split_rotation(spark, d):
@@ -256,12 +259,12 @@ def page_condition_labels(spark, d):
 
 
 def zero_cells(spark, d):
-    """Combinations of band, kind and form that no label shows."""
+    """Combinations of band, kind, form and year that no label shows."""
     la = _labels(spark, d)
-    level = {c: la.select(c).filter(f"{c} is not null").distinct() for c in ("cap_band", "doc_kind", "heading_form")}
-    # A handful of levels each: the product is at most a few dozen rows.
-    cells = level["cap_band"].crossJoin(level["doc_kind"]).crossJoin(level["heading_form"])
-    return cells.join(la, ["cap_band", "doc_kind", "heading_form"], "left_anti")
+    level = {c: la.select(c).filter(f"{c} is not null").distinct() for c in ("cap_band", "doc_kind", "heading_form", "fy")}
+    # A handful of levels each (bands, kinds, forms, years): the product is at most a thousand rows or so.
+    cells = level["cap_band"].crossJoin(level["doc_kind"]).crossJoin(level["heading_form"]).crossJoin(level["fy"])
+    return cells.join(la, ["cap_band", "doc_kind", "heading_form", "fy"], "left_anti")
 
 
 def pages_in_span(spark, d):
@@ -364,8 +367,8 @@ ORACLES = {
         SELECT x.condition AS a, y.condition AS b, count(*) AS documents FROM o x JOIN o y ON x.document_id = y.document_id AND x.condition < y.condition GROUP BY ALL HAVING count(*) >= 3""",
     "page_condition_labels": f"""WITH {_CO} SELECT document_id, physical_page, string_agg(DISTINCT condition, ',' ORDER BY condition) AS labels, CASE
         {' '.join(f"WHEN bool_or(condition = '{c}') THEN '{c}'" for c in ('is_t0_broken', 'is_scanned', 'is_hybrid', 'is_bilingual_page', 'is_devanagari_page', 'is_native'))} END AS stratum FROM co GROUP BY ALL""",
-    "zero_cells": f"""WITH {_LA}, a AS (SELECT DISTINCT cap_band FROM la WHERE cap_band IS NOT NULL), b AS (SELECT DISTINCT doc_kind FROM la WHERE doc_kind IS NOT NULL), c AS (SELECT DISTINCT heading_form FROM la WHERE heading_form IS NOT NULL)
-        SELECT * FROM a, b, c EXCEPT SELECT cap_band, doc_kind, heading_form FROM la""",
+    "zero_cells": f"""WITH {_LA}, a AS (SELECT DISTINCT cap_band FROM la WHERE cap_band IS NOT NULL), b AS (SELECT DISTINCT doc_kind FROM la WHERE doc_kind IS NOT NULL), c AS (SELECT DISTINCT heading_form FROM la WHERE heading_form IS NOT NULL), e AS (SELECT DISTINCT fy FROM la WHERE fy IS NOT NULL)
+        SELECT * FROM a, b, c, e EXCEPT SELECT cap_band, doc_kind, heading_form, fy FROM la""",
     "pages_in_span": """WITH s AS (SELECT document_id, min(start_page) AS s, max(end_page) AS e FROM input_rows WHERE start_page <= end_page GROUP BY 1),
         i AS (SELECT document_id, unnest(range(s, e + 1)) AS physical_page FROM s), c AS (SELECT document_id, physical_page, bool_or(is_scanned) AS scanned, 1 AS f FROM page_census GROUP BY ALL)
         SELECT document_id, count(*) AS pages, count(f) AS found, count(*) FILTER (scanned) AS scanned FROM i LEFT JOIN c USING (document_id, physical_page) GROUP BY 1""",
