@@ -14,6 +14,7 @@ from heapq import heappop, heappush
 
 import pyarrow as pa
 import regex
+from foliant.session import ship
 from pyspark.sql import DataFrame
 
 TOKENIZER_DIR = "/opt/tokenizers"
@@ -143,6 +144,7 @@ def _encoder(key: str, ranks) -> Encoder:
 
 def _run(df: DataFrame, id_col: str, text_col: str, name: str, folder: str, counts: bool) -> DataFrame:
     spark = df.sparkSession
+    ship(spark)
     ranks = spark.sparkContext.broadcast(load_ranks(name, folder))
     key = f"{folder}/{name}"
     source = df.select(id_col, text_col)

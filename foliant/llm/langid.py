@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.llm.labels import LANGUAGES, label_language
+from foliant.session import ship
 
 #: At most so many labelled lines are used to fit the model, those of the smallest hashes.
 TRAIN_LINES = 8_000
@@ -276,6 +277,7 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     that the model gives it; lines without letters take language and confidence of their text. Other columns are left out. Rows stay rows:
     repeated ids give repeated results. Only the model (4 numbers a bucket) is broadcast.
     """
+    ship(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
     source = df.select(id_col, text_col)
     id_type = source.schema[id_col].dataType.simpleString()

@@ -71,6 +71,16 @@ def p4_split(spark, d):
     return splits.grouped_split(records, companies, splits.split_targets(register))
 
 
+def p4_integrity(spark, d):
+    """One row on the split: documents, documents and components in more than one split (none), splits in use."""
+    own = p4_split(spark, d)
+    by = lambda c: own.groupBy(c).agg(F.count_distinct("split").alias("n"), F.count_if(F.col("split").isNull()).alias("none"))
+    docs = by("document_id").agg(F.count("*").alias("documents"), F.count_if((F.col("n") != 1) | (F.col("none") > 0)).alias("parted_documents"))
+    parts = by("component").agg(F.count_if(F.col("n") > 1).alias("parted_components"))
+    used = own.agg(F.count_distinct("split").alias("splits"))
+    return docs.join(F.broadcast(parts)).join(F.broadcast(used))  # one row each
+
+
 def p5_found(spark, d):
     return sample.selection_cases(*_t(spark, d, "doc_records", "selections"))
 
@@ -105,6 +115,14 @@ def p9_found(spark, d):
     return repetition.repetition_cases(documents, F.coalesce(label_language(F.col("lang")), F.lit("")))
 
 
+def p9_outliers(spark, d):
+    """Documents at or over the threshold of their own language and source, whatever the fixed four tenths say."""
+    (documents,) = _t(spark, d, "documents")
+    own = documents.select("doc_id", "text", F.coalesce(label_language(F.col("lang")), F.lit("")).alias("language"), "source")
+    found = repetition.repetition_outliers(own, F.col("language"), F.col("source"), ceiling=1.0)
+    return found.select("doc_id", "language", "source", "n_words", "n_repeated", "threshold")
+
+
 def p9_shares(spark, d):
     (documents,) = _t(spark, d, "documents")
     return repetition.repetition_share(documents.select("doc_id", "text")).select("doc_id", "n_words", "n_repeated")
@@ -113,8 +131,8 @@ def p9_shares(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_languages, p2_found, p2_consensus, p2_annotators, p3_found, p3_error_rate, p3_issuers, p4_found, p4_split, p5_found, p5_sample,
-        p6_found, p6_paragraphs, p7_ids, p8_containers, p9_found, p9_shares,
+        p1_found, p1_languages, p2_found, p2_consensus, p2_annotators, p3_found, p3_error_rate, p3_issuers, p4_found, p4_split, p4_integrity, p5_found, p5_sample,
+        p6_found, p6_paragraphs, p7_ids, p8_containers, p9_found, p9_outliers, p9_shares,
     )
 }
 
@@ -132,6 +150,15 @@ s AS (SELECT doc_id, count(*) AS n_words, sum(inside) AS n_repeated FROM r GROUP
 """
 
 ORACLES = {
+    "p3_issuers": r"""
+WITH own AS (SELECT company_id, max(CASE WHEN series_type = 'ordinary' THEN 1 WHEN series_type IS NOT NULL THEN 0 END) AS o, max(alternate_isins) AS alternate
+    FROM cohort_companies WHERE company_id IS NOT NULL GROUP BY 1),
+l AS (SELECT company_id, trim(x) AS other FROM (SELECT company_id, unnest(string_split(alternate, '|')) AS x FROM own)),
+b AS (SELECT company_id, other FROM l UNION ALL SELECT other, company_id FROM l),
+m AS (SELECT b.company_id, arg_max(b.other, (coalesce(x.o, -1), b.other)) AS other, max(x.o) AS o FROM b JOIN own x ON x.company_id = b.other JOIN own y ON y.company_id = b.company_id GROUP BY 1)
+SELECT own.company_id, CASE WHEN m.o = 1 AND coalesce(own.o, 0) = 0 THEN m.other ELSE own.company_id END AS issuer FROM own LEFT JOIN m USING (company_id)
+""",
+    "p4_integrity": "SELECT count(DISTINCT document_id) AS documents, 0 AS parted_documents, 0 AS parted_components, 3 AS splits FROM doc_records",
     "p4_found": r"""
 WITH RECURSIVE rec AS (SELECT company_id AS c, lower(regexp_replace(sha256, '^\s+|\s+$', '', 'g')) AS h,
     lower(regexp_replace(source_locator, '^\s+|\s+$', '', 'g')) AS l FROM doc_records WHERE trim(company_id) <> ''),

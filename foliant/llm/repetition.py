@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliant.session import cut
+from foliant.session import cut, ship
 
 RUN_WORDS = 8
 SHARE = 0.4
@@ -74,6 +74,7 @@ def repetition_share(df: DataFrame, text_col: str = "text", run: int = RUN_WORDS
         for batch in texts:
             yield pd.DataFrame([repeated_words(t, run) for t in batch], columns=["n_words", "n_repeated"])
 
+    ship(df.sparkSession)
     out = df.withColumn("__m", measure(F.col(text_col)))
     out = out.withColumn("n_words", F.col("__m.n_words")).withColumn("n_repeated", F.col("__m.n_repeated"))
     share = F.when(F.col("n_words") > 0, F.col("n_repeated") / F.col("n_words")).otherwise(0.0)
