@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from foliant.session import ship
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEPTH = 6
@@ -70,11 +70,16 @@ def vertical_gaps(blocks: DataFrame, keys: list[str]) -> DataFrame:
     return reach.filter("gap > 0").groupBy(*keys).agg(best.alias("b")).select(*keys, "b.gap", "b.at")
 
 
-def covered_cells(blocks: DataFrame, keys: list[str], width: float, height: float, grid: int = 40) -> DataFrame:
-    """(keys, cells): cells of a grid x grid page that some block covers, each counted once."""
+def covered_cells(blocks: Column, width: float, height: float, grid: int = 40) -> Column:
+    """Cells of a grid x grid page that some block of an array covers, each counted once; in the page's own row.
+
+    Each row of the grid is one number whose bits are its columns (so ``grid`` is at most 62); blocks
+    are joined bit by bit.
+    """
     cell = lambda v, size: F.least(F.lit(grid - 1), F.greatest(F.lit(0), F.floor(v * grid / size).cast("int")))
-    cells = blocks.select(
-        *keys, cell(F.col("y0"), height).alias("r0"), cell(F.col("y1"), height).alias("r1"),
-        F.explode(F.sequence(cell(F.col("x0"), width), cell(F.col("x1"), width))).alias("col"),
-    ).select(*keys, "col", F.explode(F.sequence("r0", "r1")).alias("row"))
-    return cells.groupBy(*keys).agg(F.count_distinct("row", "col").alias("cells"))
+    bit = lambda n: F.call_function("shiftleft", F.lit(1).cast("long"), n)
+    spans = F.transform(blocks, lambda b: F.struct(
+        cell(b["y0"], height).alias("r0"), cell(b["y1"], height).alias("r1"), (bit(cell(b["x1"], width) + 1) - bit(cell(b["x0"], width))).alias("mask")))
+    own = lambda r: F.filter(spans, lambda s: (s["r0"] <= r) & (s["r1"] >= r))
+    rows = F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda r: F.bit_count(F.aggregate(own(r), F.lit(0).cast("long"), lambda a, s: a.bitwiseOR(s["mask"]))))
+    return F.aggregate(rows, F.lit(0).cast("long"), lambda a, n: a + n)

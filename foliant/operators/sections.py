@@ -214,6 +214,42 @@ def locate_text_heading(pages: DataFrame, doc: str = "document_id", at: Location
     return first_end(starts, pages, doc, at)
 
 
+def typographic_headings(lines: DataFrame, doc: str = "document_id", least: float = 1.12) -> DataFrame:
+    """(doc, page_no, y, text, rel, bold) of lines (doc, page_no, y, text, size, bold) that look like headings.
+
+    A line is one if it is clearly larger than the page's median, bold and short, or in capitals; ``y``
+    is the place on the page from 0 to 1. Blank lines and lines without size are none.
+    """
+    own = lines.select(doc, "page_no", "y", strip(F.col("text")).alias("text"), "size", F.coalesce("bold", F.lit(False)).alias("bold")).filter("text <> '' and size > 0")
+    body = own.groupBy(doc, "page_no").agg(F.percentile("size", 0.5).alias("__body"))
+    out = own.join(body, [doc, "page_no"]).withColumn("rel", F.col("size") / F.col("__body"))
+    look = (F.col("rel") >= least) | (F.col("bold") & (F.length("text") <= 90)) | is_caps(F.col("text"))
+    return out.filter(look).select(doc, "page_no", "y", "text", "rel", "bold")
+
+
+def locate_typographic(lines: DataFrame, pages: DataFrame, doc: str = "document_id", at: Location = LOCATION) -> DataFrame:
+    """(doc, start_page, score, heading, end_page, terminator): the best title among lines that look like headings.
+
+    A bold or large line and the next heading under it may make one title. Pages whose text only
+    points to the section, and pages that name three ending sections, hold no start.
+    """
+    w = Window.partitionBy(doc, "page_no").orderBy("y", "text")
+    heads = typographic_headings(lines, doc).withColumn("__t", F.lead("text").over(w)).withColumn("__y", F.lead("y").over(w)).withColumn("__r", F.lead("rel").over(w)).withColumn("__b", F.lead("bold").over(w))
+    two = F.concat_ws(" ", "text", "__t")
+    joined = ~is_section_title(F.col("text")) & F.col("__t").isNotNull() & ~is_section_title(F.col("__t")) & (F.col("bold") | (F.col("rel") >= 1.2)) & (F.col("__y") - F.col("y")).between(0, 0.1) & is_section_title(two)
+    title = F.when(is_section_title(F.col("text")), F.col("text")).when(joined, two)
+    rel, bold = F.when(joined, F.greatest("rel", "__r")).otherwise(F.col("rel")), F.when(joined, F.col("bold") | F.col("__b")).otherwise(F.col("bold"))
+    own = heads.select(doc, "page_no", "y", title.alias("heading"), rel.alias("rel"), bold.alias("bold")).filter("heading is not null and page_no >= 1")
+    use = own.join(pages.filter(F.size("terms") < 3).select(doc, "page_no", "words"), [doc, "page_no"]).filter(~is_pointer(F.col("heading")))
+    score = (
+        F.lit(45) + F.floor(25 * F.least(F.lit(1.0), (F.col("rel") - 1) / 0.6)) + F.when(F.col("y") < 0.35, 18).otherwise(0)
+        + F.when(F.length("heading") <= 110, 12).otherwise(0) + F.when(F.col("bold"), 5).otherwise(0) + F.when(F.col("words") < 60, 5).otherwise(0)
+    )
+    best = use.withColumn("score", F.least(F.lit(92), score).cast("int")).groupBy(doc).agg(
+        F.max_by(F.struct("page_no", "heading", "score"), F.struct("score", -F.col("page_no"), -F.col("y"))).alias("b"))
+    return first_end(best.select(doc, F.col("b.page_no").alias("start_page"), "b.score", "b.heading"), pages, doc, at)
+
+
 def prose_pages(pages: DataFrame, doc: str = "document_id", at: Location = LOCATION) -> DataFrame:
     """(doc, page_no) of pages of prose: enough words, mostly letters, a cue on it or the next page."""
     nxt = pages.filter("cue").select(doc, (F.col("page_no") - 1).alias("page_no"), F.lit(True).alias("__next"))
@@ -344,6 +380,21 @@ def arbiter(candidates: DataFrame, pages: DataFrame, doc: str = "document_id", a
     )
 
 
+def prose_of(text: Column, furniture: Column) -> Column:
+    """struct<prose, tables>: a page's text without furniture and runs of figures, words joined over line ends.
+
+    ``furniture`` is an array of furniture keys. A run of three lines of figures or more is a table: its
+    lines are counted, not kept. A null text has the empty prose.
+    """
+    lines = F.filter(full_lines(F.split(F.coalesce(text, F.lit("")), "\n")), lambda s: ~F.array_contains(furniture, T.furniture_key(s)))
+    flags = F.transform(lines, lambda s: T.hits(s, "[0-9]") * 2 >= T.hits(s, r"\p{L}"))
+    near = lambda i, d: F.coalesce(F.get(flags, i + d), F.lit(False))
+    table = lambda i: near(i, 0) & ((near(i, -1) & near(i, 1)) | (near(i, 1) & near(i, 2)) | (near(i, -1) & near(i, -2)))
+    kept = F.array_compact(F.transform(lines, lambda s, i: F.when(~table(i), s)))
+    whole = F.regexp_replace(F.array_join(kept, "\n"), "([a-z])-\n([a-z]+)", "$1$2\n")
+    return F.struct(whole.alias("prose"), (F.size(lines) - F.size(kept)).alias("tables"))
+
+
 def refine_end(spans: DataFrame, pages: DataFrame, doc: str = "document_id", at: Location = LOCATION) -> DataFrame:
     """``spans`` (doc, start_page, end_page) with ``refined_end``: on from the end while pages go on.
 

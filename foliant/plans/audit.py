@@ -285,11 +285,29 @@ def pages_of_interest(spark, d):
     return rows.select("document_id", F.explode(F.filter(every, lambda p: p.between(0, F.col("n") - 1))).alias("page"))
 
 
+def full_width_blocks(spark, d):
+    """Whether a page has a block over six tenths of its text's width, which a cut into columns must not part."""
+    pages = table(spark, d, "ocr_pages").select("document_id", "page_no", F.col("blocks").alias("b")).distinct().filter("size(b) > 0")
+    side = lambda k: F.transform("b", lambda x: x[k])
+    band = F.array_max(side("x1")) - F.array_min(side("x0"))
+    widest = F.array_max(F.transform("b", lambda x: x["x1"] - x["x0"]))
+    return pages.select("document_id", "page_no", F.size("b").alias("blocks"), (widest > band * 0.6).alias("full_width"))
+
+
+def record_chains(spark, d):
+    """The chain of an annotator's records of a report: first and standing one, length, and whether their seals part them all."""
+    r = table(spark, d, "raw_records").filter("document_id is not null and annotator_role is not null").select("document_id", "annotator_role", "record_sha256", "sealed_at").distinct()
+    key = F.struct("sealed_at", "record_sha256")
+    by = r.groupBy("document_id", "annotator_role").agg(
+        F.min_by("record_sha256", key).alias("first_record"), F.max_by("record_sha256", key).alias("standing_record"), F.count("*").alias("records"), F.count_distinct("sealed_at").alias("seals"))
+    return by.withColumn("ordered", F.col("records") == F.col("seals")).drop("seals")
+
+
 QUERIES = {f.__name__: f for f in (
     prediction_status, presence_scores, presence_table, gold_violations, label_precision, document_threshold_metrics, subgroup_stability,
     population_reconciliation, page_provenance, document_provenance, length_buckets, scan_quality, page_languages, broken_text, overlapping_blocks,
     column_gutters, lexicon_share, title_locations, audit_fallback, split_overlap, cell_minimum_sample, pilot_draw, review_manifest, index_pages,
-    sampled_positions, pages_of_interest,
+    sampled_positions, pages_of_interest, full_width_blocks, record_chains,
 )}
 
 _STATUS = """gs AS (SELECT document_id, max(lower(trim(source_pdf_sha256))) AS gold_sha FROM raw_records WHERE document_id IS NOT NULL GROUP BY 1),
@@ -331,6 +349,11 @@ ORACLES = {
     "page_provenance": f"WITH {_PROV} SELECT * FROM pv",
     "document_provenance": f"""WITH {_PROV}, g AS (SELECT document_id, count_if(provenance = 'ocr') AS ocr, count_if(provenance = 'native') AS native, count_if(provenance = 'unknown') AS unknown FROM pv GROUP BY 1)
         SELECT *, CASE WHEN ocr > 0 AND native > 0 THEN 'mixed' WHEN ocr > 0 THEN 'ocr' WHEN native > 0 THEN 'native' WHEN unknown > 0 THEN 'unknown' ELSE 'empty' END AS provenance FROM g""",
+    "full_width_blocks": """WITH p AS (SELECT DISTINCT document_id, page_no, blocks AS b FROM ocr_pages WHERE len(blocks) > 0)
+        SELECT document_id, page_no, CAST(len(b) AS INT) AS blocks, list_max(list_transform(b, lambda x: x.x1 - x.x0)) > (list_max(list_transform(b, lambda x: x.x1)) - list_min(list_transform(b, lambda x: x.x0))) * 0.6 AS full_width FROM p""",
+    "record_chains": """WITH r AS (SELECT DISTINCT document_id, annotator_role, record_sha256, sealed_at FROM raw_records WHERE document_id IS NOT NULL AND annotator_role IS NOT NULL),
+        k AS (SELECT *, row_number() OVER (PARTITION BY document_id, annotator_role ORDER BY sealed_at NULLS FIRST, record_sha256) AS a, row_number() OVER (PARTITION BY document_id, annotator_role ORDER BY sealed_at DESC NULLS LAST, record_sha256 DESC) AS z FROM r)
+        SELECT document_id, annotator_role, max(CASE WHEN a = 1 THEN record_sha256 END) AS first_record, max(CASE WHEN z = 1 THEN record_sha256 END) AS standing_record, count(*) AS records, count(*) = count(DISTINCT sealed_at) AS ordered FROM k GROUP BY ALL""",
     "length_buckets": """WITH o AS (SELECT document_id, max(page_count) AS n FROM doc_records WHERE page_count IS NOT NULL GROUP BY 1), q AS (SELECT quantile_cont(n, [0.25, 0.75, 0.9, 0.95]) AS q FROM o)
         SELECT document_id, n, CASE WHEN n < q[1] THEN 'SHORT' WHEN n <= q[2] THEN 'MEDIUM' WHEN n <= q[3] THEN 'LONG' WHEN n <= q[4] THEN 'VERY_LONG' ELSE 'EXTREME' END AS bucket FROM o, q""",
     "scan_quality": """WITH f AS (SELECT document_id, max(fiscal_year) AS fy FROM doc_records GROUP BY 1), b AS (SELECT company_id, max(cap_band) AS cap_band FROM cohort_companies GROUP BY 1)

@@ -157,7 +157,8 @@ def widest_gap(spark, d):
 
 
 def text_area(spark, d):
-    return covered_cells(_blocks(spark, d), ["document_id", "page_no"], 595.0, 842.0)
+    pages = table(spark, d, "ocr_pages").select("document_id", "page_no", "blocks").distinct().filter("size(blocks) > 0")
+    return pages.select("document_id", "page_no", covered_cells(F.col("blocks"), 595.0, 842.0).alias("cells"))
 
 
 def error_classes(spark, d):
@@ -288,6 +289,9 @@ ORACLES = {
         b AS (SELECT *, sum(c) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS i FROM a)
         SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 6 HOUR AS "end", count(*) AS attempts, count_if(event_type = 'error') AS failures FROM b GROUP BY user_id, i""",
     "stream_failure_windows": _TUMBLE,
+    # An event is delayed if it comes before the slot that the events before it leave free, slots being an hour apart.
+    "stream_paced_users": """WITH r AS (SELECT user_id, epoch_us(ts) - 3600000000 * row_number() OVER (PARTITION BY user_id ORDER BY ts) AS u, ts FROM events WHERE user_id IS NOT NULL),
+        m AS (SELECT user_id, u < max(u) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS late FROM r) SELECT user_id, count(*) AS granted, count_if(late) AS delayed FROM m GROUP BY 1""",
     "stream_first_deliveries": "SELECT DISTINCT event_id, ts, user_id, event_type FROM events",
     "stream_latest_per_user": """WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events WHERE user_id IS NOT NULL)
         SELECT user_id, event_id, ts, event_type FROM r WHERE rn = 1""",

@@ -104,9 +104,26 @@ def end_refinement(spark, d):
     return S.refine_end(S.locate_body(pages).select("document_id", "start_page", "end_page"), pages)
 
 
+def section_prose(spark, d):
+    """The prose of each located section: pages in order, without furniture and tables; words, lines of tables, digest."""
+    from foliant.functions import text as T
+
+    both = F.array_compact(F.array(F.nullif(T.furniture_key(F.col("top_furniture_text")), F.lit("")), F.nullif(T.furniture_key(F.col("bottom_furniture_text")), F.lit(""))))
+    edges = table(spark, d, "page_census").select("document_id", F.explode(both).alias("k")).groupBy("document_id").agg(F.collect_set("k").alias("furniture"))
+    spans = section_arbiter(spark, d).select("document_id", "start_page", "end_page")
+    t = table(spark, d, "documents").select("doc_id", "document_id", F.col("physical_page").alias("page_no"), "text")
+    # Only pages inside a span keep their text; a span has at most sixty.
+    inside = t.join(spans, "document_id").filter(F.col("page_no").between(F.col("start_page"), F.col("end_page")))
+    p = inside.join(edges, "document_id", "left").select("document_id", "page_no", "doc_id", S.prose_of(F.col("text"), F.coalesce("furniture", F.array().cast("array<string>"))).alias("p"))
+    parts = F.array_sort(F.collect_list(F.struct("page_no", "doc_id", "p.prose", "p.tables")))
+    by = p.groupBy("document_id").agg(parts.alias("x")).withColumn("prose", F.array_join(F.transform("x", lambda e: e["prose"]), "\n"))
+    return by.select("document_id", F.size("x").alias("texts"), T.word_count(F.col("prose")).alias("words"),
+                     F.aggregate("x", F.lit(0), lambda a, e: a + e["tables"]).alias("table_lines"), F.md5("prose").alias("digest"))
+
+
 QUERIES = {f.__name__: f for f in (
     terminator_lines, scanned_terminators, page_body_score, pointer_headings, section_outline, section_contents, section_heading,
-    section_body, section_arbiter, end_refinement,
+    section_body, section_arbiter, end_refinement, section_prose,
 )}
 
 _q = lambda p: p.replace("'", "''")
@@ -198,6 +215,18 @@ ORACLES = {
     "section_heading": f"{_FEATURES} SELECT * FROM heading",
     "section_body": f"{_FEATURES} SELECT * FROM body",
     "section_arbiter": f"{_FEATURES} SELECT document_id, method, start_page, end_page, supporters, words, CASE WHEN words < 250 THEN least(99, score + 6 * supporters) / 2 ELSE least(99, score + 6 * supporters) END AS score FROM ct",
+    "section_prose": f"""{_FEATURES}, fk AS (SELECT document_id, list(DISTINCT k) AS furniture FROM (SELECT document_id, {_NORM.replace('(s,', '(top_furniture_text,')} AS k FROM page_census UNION ALL
+        SELECT document_id, {_NORM.replace('(s,', '(bottom_furniture_text,')} FROM page_census) WHERE k <> '' GROUP BY 1),
+        sp AS (SELECT d.doc_id, d.document_id, d.physical_page AS page_no, coalesce(d.text, '') AS text, coalesce(furniture, []) AS furniture FROM documents d JOIN ct ON ct.document_id = d.document_id AND d.physical_page BETWEEN ct.start_page AND ct.end_page
+        LEFT JOIN fk ON fk.document_id = d.document_id),
+        sl AS (SELECT doc_id, document_id, page_no, furniture, unnest(range(0, len(string_split(text, chr(10))))) AS i, text FROM sp),
+        sm AS (SELECT doc_id, document_id, page_no, i, {_STRIP.format('string_split(text, chr(10))[i + 1]')} AS s, furniture FROM sl),
+        sn AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS pos, len(regexp_extract_all(s, '[0-9]')) * 2 >= len(regexp_extract_all(s, '\\p{{L}}')) AS f FROM sm WHERE s <> '' AND NOT list_contains(furniture, {_NORM})),
+        so AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id, f ORDER BY pos) AS isl FROM sn), sq AS (SELECT *, f AND count(*) OVER (PARTITION BY doc_id, f, isl) >= 3 AS tab FROM so),
+        sr AS (SELECT doc_id, regexp_replace(string_agg(s, chr(10) ORDER BY pos) FILTER (NOT tab), concat('([a-z])-', chr(10), '([a-z]+)'), concat('\1\2', chr(10)), 'g') AS prose, count_if(tab) AS tables FROM sq GROUP BY 1),
+        ss AS (SELECT sp.document_id, sp.doc_id, page_no, coalesce(prose, '') AS prose, coalesce(tables, 0) AS tables FROM sp LEFT JOIN sr USING (doc_id)),
+        su AS (SELECT document_id, CAST(count(*) AS INT) AS texts, string_agg(prose, chr(10) ORDER BY page_no, doc_id) AS prose, CAST(sum(tables) AS INT) AS table_lines FROM ss GROUP BY 1)
+        SELECT document_id, texts, len(regexp_extract_all(prose, '[^ \t\n\r\f]+')) AS words, table_lines, md5(prose) AS digest FROM su""",
     "end_refinement": f"""{_FEATURES}, w AS (SELECT document_id, start_page, end_page, unnest(range(end_page + 1, end_page + 13)) AS p FROM body),
         x AS (SELECT w.*, pg.document_id IS NULL OR (pg.score < 15 AND pg.words < 60) OR EXISTS (SELECT 1 FROM te WHERE te.document_id = w.document_id AND te.page_no = w.p) AS stops FROM w LEFT JOIN pg ON pg.document_id = w.document_id AND pg.page_no = w.p)
         SELECT document_id, start_page, end_page, CAST(coalesce(min(CASE WHEN stops THEN p END) - 1, end_page + 12) AS INT) AS refined_end FROM x GROUP BY document_id, start_page, end_page""",

@@ -77,6 +77,36 @@ def recognise_pages(pages: DataFrame, ladder: list[tuple[str, Recognise]], accep
     )
 
 
+def adjudicate(windows: DataFrame, ask: Callable[[str], str], weight: float = 0.9, max_pages: int = 60) -> DataFrame:
+    """(document_id, start_page, end_page, heading, score, error) of excerpts ``prompt`` judged by an injected model.
+
+    The answer is a JSON object, alone or inside other text, with start_page, end_page, heading and
+    confidence; what cannot be read, and a section said to be absent, gives null pages.
+    """
+    ship(windows.sparkSession)
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import json
+
+        for b in batches:
+            rows = []
+            for d, prompt in zip(b["document_id"], b["prompt"]):
+                row = (d, None, None, None, None, None)
+                try:
+                    raw = ask(prompt)
+                    told = json.loads(raw[raw.index("{") : raw.rindex("}") + 1])
+                    s, e = int(told.get("start_page", -1)), int(told.get("end_page", -1))
+                    if 0 <= s <= e:
+                        row = (d, s, min(e, s + max_pages - 1), told.get("heading") or None, float(told.get("confidence", 0.6)) * weight, None)
+                except Exception as x:  # noqa: BLE001
+                    row = (d, None, None, None, None, f"{type(x).__name__}: {x}"[:300])
+                rows.append(row)
+            out = pd.DataFrame(rows, columns=["document_id", "start_page", "end_page", "heading", "score", "error"])
+            yield out.astype({"start_page": "Int32", "end_page": "Int32"})
+
+    return windows.select("document_id", "prompt").mapInPandas(work, "document_id string, start_page int, end_page int, heading string, score double, error string")
+
+
 def unzip_largest(files: DataFrame, suffix: str = ".pdf") -> DataFrame:
     """(path, name, content): the largest member with the suffix of each archive; broken archives give null."""
 

@@ -13,6 +13,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from foliant.session import checkpoint_root, ship
 
 WATERMARK = "10 minutes"
+#: Parts of a table kept by upserts; at most so many numbers reach the driver per batch.
+PARTS = 64
 
 
 def read_events(spark: SparkSession, folder: str, name: str = "events", files_per_batch: int | None = None) -> DataFrame:
@@ -70,22 +72,29 @@ def batches(stream: DataFrame, mode: str) -> DataFrame:
 
 
 def upsert_latest(stream: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The latest row of each key, kept by merging every micro-batch into the table so far."""
+    """The latest row of each key, kept by merging every micro-batch into the table so far.
+
+    The table lies in PARTS parts by a hash of the key; a batch reads and writes anew only the parts
+    that it touches, and a part that is written never changes.
+    """
     spark = stream.sparkSession
     base = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
-    done: list[str] = []
+    part = F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")
+    now: dict[int, str] = {}
 
     def merge(batch: DataFrame, number: int) -> None:
-        before = spark.read.parquet(done[-1]) if done else None
-        both = batch if before is None else before.unionByName(batch)
+        touched = [r["p"] for r in batch.select(part.alias("p")).distinct().collect()]
+        before = [now[p] for p in touched if p in now]
+        both = batch.unionByName(spark.read.schema(batch.schema).parquet(*before)) if before else batch
         w = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in order])
         out = f"{base}/v{number}"
-        both.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn").write.mode("overwrite").parquet(out)
-        done.append(out)
+        latest = both.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+        latest.withColumn("__part", part).write.mode("overwrite").partitionBy("__part").parquet(out)
+        now.update({p: f"{out}/__part={p}" for p in touched})
 
     query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.parquet(done[-1]) if done else spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(*now.values()) if now else spark.createDataFrame([], stream.schema)
 
 
 def failure_windows(events: DataFrame, width: str = "90 minutes", slide: str | None = None) -> DataFrame:

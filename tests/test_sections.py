@@ -93,3 +93,20 @@ def test_texts_are_not_shuffled(spark, data):
         plan = catalogue.QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan, name
     assert Q.section_arbiter(spark, data).columns[0] == "document_id"
+
+
+def test_typographic_heading(spark):
+    texts = ["cover", "x", "Management Discussion\nand Analysis\n" + BODY, BODY, "Corporate Governance Report"]
+    rows = [("d", 2, 0.1, "Management", 20.0, True), ("d", 2, 0.14, "Discussion & Analysis", 20.0, True)]
+    rows += [("d", 2, 0.2 + k / 100, "body text", 10.0, False) for k in range(9)] + [("d", 3, 0.5, "MANAGEMENT DISCUSSION AND ANALYSIS", 10.0, None), ("d", 3, 0.6, " ", 9.0, None)]
+    lines = spark.createDataFrame(rows, "document_id string, page_no int, y double, text string, size double, bold boolean")
+    got = S.locate_typographic(lines, pages(spark, texts)).collect()
+    assert [(r.start_page, r.end_page, r.score, r.heading) for r in got] == [(2, 3, 92, "Management Discussion & Analysis")]
+    assert S.locate_typographic(lines.limit(0), pages(spark, texts)).count() == 0
+
+
+def test_prose_without_tables(spark):
+    text = "Alpha Ltd 12\nThe com-\npany grew.\n1 2 3\n4 5\n6,7 %\nAfter 9\n\n10 11\nend"
+    df = spark.createDataFrame([(text,), (None,)], "t string")
+    got = [tuple(r[0]) for r in df.select(S.prose_of(F.col("t"), F.array(F.lit("alpha ltd")))).collect()]
+    assert got == [("The company\n grew.\nAfter 9\n10 11\nend", 3), ("", 0)]

@@ -63,6 +63,9 @@ def test_adapters(spark):
     weak, strong = (lambda i, lang: ("weak", 0.4)), (lambda i, lang: ("strong", 0.9))
     pages = spark.createDataFrame([("d", 0, bytearray(b"x"), "eng")], "document_id string, page_no int, image binary, language string")
     assert adapters.recognise_pages(pages, [("w", weak), ("s", strong)], 0.8).first().text == "strong"
+    told = {"a": 'so {"start_page": 3, "end_page": 99, "heading": "MD&A", "confidence": 0.5}', "b": '{"start_page": -1}', "c": "no"}
+    judged = {r.document_id: r for r in adapters.adjudicate(spark.createDataFrame([(k, k) for k in told], "document_id string, prompt string"), told.get).collect()}
+    assert (judged["a"].start_page, judged["a"].end_page, judged["a"].score) == (3, 62, 0.45) and judged["b"].start_page is judged["b"].error is None and "ValueError" in judged["c"].error
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w") as z:
         z.writestr("a.pdf", "1"), z.writestr("b.pdf", "22"), z.writestr("c.txt", "333")
@@ -81,6 +84,16 @@ def test_stream_drops_late_and_repeated(spark, tmp_path):
     assert [x for x in got if x != 4] == [1, 2, 3, 5] and got.count(2) == 1
 
 
+def test_upserts_keep_the_latest(spark, tmp_path):
+    folder = tmp_path / "events.parquet"
+    for rows in ([(1, 0, "a"), (2, 5, "b")], [(1, 9, "c"), (3, 1, "d")], [(2, 1, "old"), (None, 1, "n")]):
+        sql = " UNION ALL ".join(f"SELECT {'NULL' if i is None else i} AS k, timestamp'2024-01-01' + interval {m} minutes AS ts, '{v}' AS v" for i, m, v in rows)
+        spark.sql(sql).selectExpr("cast(k as long) k", "ts", "v").coalesce(1).write.mode("append").parquet(str(folder))
+    stream = events.read_events(spark, str(tmp_path), files_per_batch=1)
+    got = {(r.k, r.v) for r in events.upsert_latest(stream, "k", ["ts"]).collect()}
+    assert got == {(1, "c"), (2, "b"), (3, "d"), (None, "n")}
+
+
 def test_batch_equals_stream(spark, data):
     from foliant.plans import catalogue
 
