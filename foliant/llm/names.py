@@ -119,9 +119,9 @@ def first_keys(words: list[str], common: frozenset[str] = frozenset(), typed: bo
 def refined_keys(words: list[str], bases: list[str]) -> list[tuple[int, str, str]]:
     """(level, key, key of the level before) of a name under its keys in crowded blocks.
 
-    Levels 1 to 3 add the beginning of another token, one letter, three, five; the last adds the
-    beginning of a third token, or the letters at the token's other end. A single token stands for
-    the other one itself.
+    Levels 1 to 3 add the beginning of another token, one letter, three, five; level 4 adds the
+    letters at the token's other end; the last the beginning of a third token, to level 3 or 4, or
+    the whole other one if there is none. A single token stands for the other one itself.
     """
     out = set()
     for base in bases:
@@ -134,9 +134,11 @@ def refined_keys(words: list[str], bases: list[str]) -> list[tuple[int, str, str
                 for level, n in enumerate(REFINE, 1):
                     key, before = f"{base}|{v[:n]}", key
                     out.add((level, key, before))
-                own = w[-OWN:] if base[0] == "^" else w[:OWN]
-                for last in [own, *("+" + u[:LAST] for k, u in enumerate(others) if k != j)]:
-                    out.add((len(REFINE) + 1, f"{key}|{last}", key))
+                thirds = ["+" + u[:LAST] for k, u in enumerate(others) if k != j]
+                own = f"{key}|{w[-OWN:] if base[0] == '^' else w[:OWN]}"
+                out.add((len(REFINE) + 1, own, key))
+                out |= {(len(REFINE) + 2, f"{key}|{x}", key) for x in thirds}
+                out |= {(len(REFINE) + 2, f"{own}|{x}", own) for x in thirds or ["=" + v]}
     return sorted(out)
 
 
@@ -417,7 +419,7 @@ def candidates(typed: DataFrame, names: DataFrame, common: frozenset[str]) -> Da
     index = small.groupBy("name_id", "place").agg(F.min_by("key", "size").alias("key")).select("name_id", "key")
     index = index.unionByName(keys.filter("place = 0").select("name_id", "key"))
     deeper = cut(_refined(names, keys, crowded, "name_id"))
-    large = cut(deeper.filter(F.col("level") <= len(REFINE)).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > MAX_BLOCK).select("key"))
+    large = cut(deeper.filter(F.col("level") <= len(REFINE) + 1).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > MAX_BLOCK).select("key"))
     held = deeper.join(large.withColumn("big", F.lit(True)), "key", "left")
     reached = held.join(large.select(F.col("key").alias("parent"), F.lit(True).alias("above")), "parent", "left")
     index = index.unionByName(
