@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -22,6 +23,11 @@ TAIL_WORDS = "the|a|an|of|and|or|to|in|for|with|by|from|as|on|at|that|which|this
 NAME_STOP = "limited|ltd|private|pvt|public|company|co|corporation|corp|industries|india|the|and|incorporated|inc|plc"
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often and however deep in lambdas it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def hits(text: Column, pattern: str) -> Column:
     """How often a pattern occurs; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0))

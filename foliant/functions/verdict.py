@@ -96,8 +96,8 @@ def leaks(text: Column) -> Column:
 def tail_is_cautionary(text: Column, v: Verdict = VERDICT) -> Column:
     """The last lines that are not blank hold a cautionary statement; false for blank texts."""
     full = F.filter(F.transform(F.split(text, "\r?\n"), lambda x: F.trim(F.regexp_replace(x, r"\s+", " "))), lambda x: x != "")
-    tail = F.slice(full, F.greatest(F.size(full) - (v.tail_lines - 1), F.lit(1)), F.lit(v.tail_lines))
-    return F.array_join(tail, " ").rlike(f"(?i){P.CAUTIONARY}")
+    tail = lambda own: F.array_join(F.slice(own, F.greatest(F.size(own) - (v.tail_lines - 1), F.lit(1)), F.lit(v.tail_lines)), " ")
+    return T.once(full, tail).rlike(f"(?i){P.CAUTIONARY}")
 
 
 def reasons(company_ok, year_ok, weight, leak, words, share, orphans, producer, cautious, split_share=None, budget=None, v: Verdict = VERDICT) -> Column:

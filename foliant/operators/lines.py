@@ -24,12 +24,15 @@ def paragraph_array(text: Column) -> Column:
     """
     lines = F.transform(F.split(text, "\r?\n"), lambda x: F.trim(F.regexp_replace(x, r"[\s]+", " ")))
 
-    def mark(x: Column, i: Column) -> Column:
-        before = F.get(lines, i - 1)
-        starts = (i == 0) | (before == "") | before.rlike(T.SENTENCE_END)
-        return F.when(x == "", "").when(starts, F.concat(F.lit(_START), i.cast("string"), F.lit(_NUMBER), x)).otherwise(F.concat(F.lit(" "), x))
+    def marked(own: Column) -> Column:
+        def mark(x: Column, i: Column) -> Column:
+            before = F.get(own, i - 1)
+            starts = (i == 0) | (before == "") | before.rlike(T.SENTENCE_END)
+            return F.when(x == "", "").when(starts, F.concat(F.lit(_START), i.cast("string"), F.lit(_NUMBER), x)).otherwise(F.concat(F.lit(" "), x))
 
-    parts = F.filter(F.split(F.array_join(F.transform(lines, mark), ""), _START), lambda p: p != "")
+        return F.array_join(F.transform(own, mark), "")
+
+    parts = F.filter(F.split(T.once(lines, marked), _START), lambda p: p != "")
     return F.transform(
         F.coalesce(parts, F.array().cast("array<string>")),
         lambda p: F.struct(F.substring_index(p, _NUMBER, 1).cast("int").alias("first_line"), F.substring_index(p, _NUMBER, -1).alias("paragraph")),
@@ -49,8 +52,7 @@ def order_flags(paras: Column) -> Column:
     mid-phrase and is not continued.
     """
 
-    def look(p: Column, i: Column) -> Column:
-        prev, after = F.get(paras, i - 1), F.get(paras, i + 1)
+    def look(p: Column, prev: Column, after: Column) -> Column:
         starts = ~p.rlike(T.LIST_MARKER) & p.rlike(r"^[a-z,)\]}]")
         ends = (T.word_count(p) >= 4) & ~p.rlike("[:;]\\s*$") & p.rlike(r"(?:^| )[\"'(\[]*[a-z][^ ]*\s*$")
         tail = p.rlike(rf"(?:^| )(?:{T.TAIL_WORDS})[\"')\].,;:]*\s*$")
@@ -58,7 +60,7 @@ def order_flags(paras: Column) -> Column:
         whole = ~p.rlike(T.SENTENCE_END) & ~T.heading_shape(p) & ~after.rlike("^[a-z0-9]")
         return F.struct(orphan.alias("orphan"), F.coalesce(ends & ~tail & whole, F.lit(False)).alias("dangling"))
 
-    return F.transform(paras, look)
+    return T.once(paras, lambda own: F.transform(own, lambda p, i: look(p, F.get(own, i - 1), F.get(own, i + 1))))
 
 
 def longest_run(values: Column) -> Column:
@@ -69,17 +71,20 @@ def longest_run(values: Column) -> Column:
         return F.struct(x.alias("last"), n.cast("long").alias("n"), F.greatest(a["best"], n.cast("long")).alias("best"))
 
     zero = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("best"))
-    return F.when(F.size(values) > 0, F.aggregate(values, zero, step)["best"])
+    return T.once(values, lambda own: F.when(F.size(own) > 0, F.aggregate(own, zero, step)["best"]))
 
 
 def true_runs(flags: Column) -> Column:
     """array<struct<first, length>> of the runs of true in an array of booleans, first from 1; linear."""
 
-    def mark(x: Column, i: Column) -> Column:
-        start = (i == 0) | ~F.get(flags, i - 1)
-        return F.when(~x, "").when(start, F.concat(F.lit(_START), (i + 1).cast("string"), F.lit(_NUMBER + "1"))).otherwise("1")
+    def marked(own: Column) -> Column:
+        def mark(x: Column, i: Column) -> Column:
+            start = (i == 0) | ~F.get(own, i - 1)
+            return F.when(~x, "").when(start, F.concat(F.lit(_START), (i + 1).cast("string"), F.lit(_NUMBER + "1"))).otherwise("1")
+
+        return F.array_join(F.transform(own, mark), "")
 
-    parts = F.filter(F.split(F.array_join(F.transform(flags, mark), ""), _START), lambda p: p != "")
+    parts = F.filter(F.split(T.once(flags, marked), _START), lambda p: p != "")
     return F.transform(
         parts,
         lambda p: F.struct(

@@ -88,21 +88,20 @@ def terminators(lines: Column) -> Column:
     A line counts in the upper half of the page or under a blank line, and must then stand in the
     top third or under a blank line.
     """
-    n = F.size(lines)
 
-    def look(line: Column, i: Column) -> Column:
-        s = strip(line)
-        under = (i > 0) & (strip(F.get(lines, i - 1)) == "")
+    def look(own: Column, s: Column, i: Column) -> Column:
+        n = F.size(own)
+        under = (i > 0) & (F.get(own, i - 1) == "")
         upper = (i <= F.greatest(F.lit(8), F.floor(n / 2))) & (i < F.greatest(F.lit(4), F.floor(n / 3)))
         return F.when(
-            is_terminator_shape(s) & (under | upper),
+            (under | upper) & is_terminator_shape(s),
             F.struct(
                 i.alias("line_index"), s.alias("text"), F.when(is_caps(s), "all_caps").otherwise("title_case").alias("font_signal"),
                 F.floor(i * 1000 / F.greatest(n, F.lit(1))).cast("int").alias("permille"), T.furniture_key(s).alias("norm"),
             ),
         )
 
-    return F.array_compact(F.transform(lines, look))
+    return T.once(F.transform(lines, strip), lambda own: F.array_compact(F.transform(own, lambda s, i: look(own, s, i))))
 
 
 def full_lines(lines: Column) -> Column:
@@ -121,22 +120,28 @@ def text_heading(full: Column, pointer: Column, at: Location = LOCATION) -> Colu
     A title may stand on two lines. Higher, shorter and capital titles score more; pages that name
     three ending sections or more are contents pages and score less.
     """
-    top = F.slice(full, 1, at.heading_lines)
     listing = F.size(F.filter(full, lambda s: s.rlike(f"(?i){P.TERMINATOR}"))) >= 3
 
-    def look(s: Column, i: Column) -> Column:
-        after = F.get(top, i + 1)
+    def look(s: Column, after: Column, i: Column) -> Column:
         two = F.concat_ws(" ", s, after)
         title = F.when((F.length(s) <= 110) & is_section_title(s), s).when(
             after.isNotNull() & ~is_section_title(after) & (F.length(two) <= 110) & is_section_title(two), two
         )
-        score = (
-            F.lit(40) + F.floor(10 * (at.heading_lines - i) / at.heading_lines).cast("int") + F.when(F.length(title) <= 60, 10).otherwise(0)
-            + F.when(is_caps(title), 5).otherwise(0) - F.when(listing, 30).otherwise(0)
-        )
-        return F.when(title.isNotNull(), F.struct(score.cast("int").alias("score"), (-i).alias("neg_line"), title.alias("text")))
 
-    return F.when(~pointer, F.array_max(F.array_compact(F.transform(top, look))))
+        def scored(t: Column) -> Column:
+            score = (
+                F.lit(40) + F.floor(10 * (at.heading_lines - i) / at.heading_lines).cast("int") + F.when(F.length(t) <= 60, 10).otherwise(0)
+                + F.when(is_caps(t), 5).otherwise(0)
+            )
+            return F.when(t.isNotNull(), F.struct(score.cast("int").alias("score"), (-i).alias("neg_line"), t.alias("text")))
+
+        return T.once(title, scored)
+
+    best = T.once(F.slice(full, 1, at.heading_lines), lambda top: F.array_max(F.array_compact(F.transform(top, lambda s, i: look(s, F.get(top, i + 1), i)))))
+    # A contents page lowers all its titles alike.
+    low = lambda b: F.struct((b["score"] - F.when(listing, 30).otherwise(0)).alias("score"), b["neg_line"].alias("neg_line"), b["text"].alias("text"))
+    # Whole pages are searched for pointers only where there is a title.
+    return T.once(best, lambda b: F.when(b.isNotNull() & ~pointer, low(b)))
 
 
 def body_score(text: Column) -> Column:
@@ -387,12 +392,19 @@ def prose_of(text: Column, furniture: Column) -> Column:
     lines are counted, not kept. A null text has the empty prose.
     """
     lines = F.filter(full_lines(F.split(F.coalesce(text, F.lit("")), "\n")), lambda s: ~F.array_contains(furniture, T.furniture_key(s)))
-    flags = F.transform(lines, lambda s: T.hits(s, "[0-9]") * 2 >= T.hits(s, r"\p{L}"))
-    near = lambda i, d: F.coalesce(F.get(flags, i + d), F.lit(False))
-    table = lambda i: near(i, 0) & ((near(i, -1) & near(i, 1)) | (near(i, 1) & near(i, 2)) | (near(i, -1) & near(i, -2)))
-    kept = F.array_compact(F.transform(lines, lambda s, i: F.when(~table(i), s)))
-    whole = F.regexp_replace(F.array_join(kept, "\n"), "([a-z])-\n([a-z]+)", "$1$2\n")
-    return F.struct(whole.alias("prose"), (F.size(lines) - F.size(kept)).alias("tables"))
+    told = F.transform(lines, lambda s: F.struct(s.alias("s"), (T.hits(s, "[0-9]") * 2 >= T.hits(s, r"\p{L}")).alias("f")))
+
+    def parted(own: Column) -> Column:
+        near = lambda i, d: F.coalesce(F.get(own, i + d)["f"], F.lit(False))
+        table = lambda i: near(i, 0) & ((near(i, -1) & near(i, 1)) | (near(i, 1) & near(i, 2)) | (near(i, -1) & near(i, -2)))
+        return F.transform(own, lambda x, i: F.when(~table(i), x["s"]))
+
+    def whole(rows: Column) -> Column:
+        kept = F.array_compact(rows)
+        prose = F.regexp_replace(F.array_join(kept, "\n"), "([a-z])-\n([a-z]+)", "$1$2\n")
+        return F.struct(prose.alias("prose"), (F.size(rows) - F.size(kept)).alias("tables"))
+
+    return T.once(T.once(told, parted), whole)
 
 
 def refine_end(spans: DataFrame, pages: DataFrame, doc: str = "document_id", at: Location = LOCATION) -> DataFrame:
